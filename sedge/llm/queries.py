@@ -26,9 +26,28 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE), limit=512)
 
 
+def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into sequences of 4096 ids."""
+    from .packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), tokenizer(WORD_BPE), capacity=4096, end_id=2)
+
+
+def op10_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents' ids written to the archive and read back."""
+    from .storage import new_folder
+    from .token_archive import token_digests, write_token_archive
+
+    folder = new_folder(spark, "tokens")
+    write_token_archive(table(spark, sf_dir, "documents"), folder, tokenizer(WORD_BPE), end_id=1)
+    return token_digests(spark, folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_counts": op2_token_counts,
+        "op6_harmonic_packing": op6_harmonic_packing,
+        "op10_token_archive": op10_token_archive,
     }
 
 
