@@ -28,7 +28,7 @@ class Output:
         self.fs, top = filesystem(folder)
         self.staged, self.file = f"_staging/{name}.{attempt}", name
         self.fs.create_dir(f"{top}/_staging", recursive=True)
-        self.out = self.fs.open_output_stream(f"{top}/{self.staged}")
+        self.out = self.fs.open_output_stream(f"{top}/{self.staged}", compression=None)
         self.hash, self.n_bytes, self.n_records, self.n_units = hashlib.sha256(), 0, 0, 0
 
     def write(self, data: bytes) -> None:

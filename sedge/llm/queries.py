@@ -19,6 +19,27 @@ def tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to a WARC archive and read back."""
+    from .storage import new_folder
+    from .warc import read_warc, write_warc
+
+    folder = new_folder(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), folder)
+    return read_warc(spark, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP1 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha256(b) AS payload_digest FROM p),
+w AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first < page_id THEN first END AS refers_to
+FROM w
+"""
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
     from .token_counts import count_tokens
@@ -45,6 +66,7 @@ def op10_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc": op1_warc,
         "op2_token_counts": op2_token_counts,
         "op6_harmonic_packing": op6_harmonic_packing,
         "op10_token_archive": op10_token_archive,
@@ -52,4 +74,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_warc": OP1}
