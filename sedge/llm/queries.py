@@ -47,6 +47,34 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE), limit=512)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against the benchmark's windows."""
+    from .decontamination import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans", "items")
+
+
+#: Words of a text in DuckDB: ASCII letters in lower case, digits, and everything beyond ASCII.
+WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP4 = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+b AS (SELECT item_id, {WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+sizes AS (SELECT DISTINCT least(10, len(w)) AS n FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS g
+  FROM b, range(1, greatest(len(w) - 10, 0) + 2) AS r(i) WHERE len(w) > 0),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS g
+  FROM d, sizes, range(1, greatest(len(w) - n + 1, 0) + 1) AS r(i)),
+h AS (SELECT doc_id, item_id, i, dw.n FROM dw JOIN bw USING (n, g)),
+hit AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM h, range(0, n) AS r(k) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS s
+  FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+
 def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of 4096 ids."""
     from .packing import pack
@@ -68,10 +96,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
         "op2_token_counts": op2_token_counts,
+        "op4_decontamination": op4_decontamination,
         "op6_harmonic_packing": op6_harmonic_packing,
         "op10_token_archive": op10_token_archive,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1}
+    return {"op1_warc": OP1, "op4_decontamination": OP4}
