@@ -82,6 +82,26 @@ def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer(WORD_BPE), capacity=4096, end_id=2)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by 5-word shingles at a Jaccard similarity of 0.75 or more."""
+    from .jaccard_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), width=5, num=75, den=100)
+
+
+OP8 = r"""
+WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM t, range(1, greatest(len(w) - 5, 0) + 2) AS r(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS inter FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * inter >= 75 * (x.n + y.n - inter)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT t.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
+FROM t LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)
+"""
+
+
 def op10_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents' ids written to the archive and read back."""
     from .storage import new_folder
@@ -98,9 +118,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_counts": op2_token_counts,
         "op4_decontamination": op4_decontamination,
         "op6_harmonic_packing": op6_harmonic_packing,
+        "op8_jaccard_join": op8_jaccard_join,
         "op10_token_archive": op10_token_archive,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1, "op4_decontamination": OP4}
+    return {"op1_warc": OP1, "op4_decontamination": OP4, "op8_jaccard_join": OP8}
