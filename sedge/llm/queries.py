@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -47,6 +48,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE), limit=512)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality; labels of held-out documents are never learnt."""
+    from .quality import fit_quality, score_quality
+
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against the benchmark's windows."""
     from .decontamination import contamination
@@ -102,6 +111,23 @@ FROM t LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_
 """
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best of every hundredth vector among all others."""
+    from .exact_top_k import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+OP9 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def op10_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents' ids written to the archive and read back."""
     from .storage import new_folder
@@ -116,12 +142,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
         "op2_token_counts": op2_token_counts,
+        "op3_quality": op3_quality,
         "op4_decontamination": op4_decontamination,
         "op6_harmonic_packing": op6_harmonic_packing,
         "op8_jaccard_join": op8_jaccard_join,
+        "op9_exact_top_k": op9_exact_top_k,
         "op10_token_archive": op10_token_archive,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1, "op4_decontamination": OP4, "op8_jaccard_join": OP8}
+    return {"op1_warc": OP1, "op4_decontamination": OP4, "op8_jaccard_join": OP8, "op9_exact_top_k": OP9}
