@@ -84,6 +84,13 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses that documents name."""
+    from .license_scan import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of 4096 ids."""
     from .packing import pack
@@ -144,6 +151,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_counts": op2_token_counts,
         "op3_quality": op3_quality,
         "op4_decontamination": op4_decontamination,
+        "op5_license_scan": op5_license_scan,
         "op6_harmonic_packing": op6_harmonic_packing,
         "op8_jaccard_join": op8_jaccard_join,
         "op9_exact_top_k": op9_exact_top_k,
@@ -152,4 +160,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1, "op4_decontamination": OP4, "op8_jaccard_join": OP8, "op9_exact_top_k": OP9}
+    from .license_scan import oracle
+
+    return {"op5_license_scan": oracle(WORDS), "op1_warc": OP1, "op4_decontamination": OP4, "op8_jaccard_join": OP8, "op9_exact_top_k": OP9}
