@@ -105,7 +105,7 @@ class Bounds:
 
 # --- hash buckets ---------------------------------------------------------------------------------
 
-DEALT = "bucket int, hashes binary, docs binary, known binary, pairs binary"
+DEALT = "bucket int, first long, hashes binary, docs binary, known binary, pairs binary"
 
 
 def _ordered(hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -148,7 +148,10 @@ def _deal(prefixes: Iterator[tuple[int, np.ndarray]], buckets: int, credit: bool
         many = counts[group] > 1
         pairs = _pairs(d[many], d[start][group][many], credit)
         h, d, known = h[start], d[start], (counts > 1) & credit
-        at = (mixed(h) % np.uint64(buckets)).astype(np.int64)
+        m = mixed(h)
+        at, short = (m % np.uint64(buckets)).astype(np.int64), (m >> np.uint64(32)).astype("<u4")
+        first = int(d.min())
+        kind = "<u4" if int(d.max()) - first < 1 << 32 else "<i8"
         by = np.argsort(at, kind="stable")
         edges = np.searchsorted(at[by], np.arange(buckets + 1))
         rows = []
@@ -156,8 +159,8 @@ def _deal(prefixes: Iterator[tuple[int, np.ndarray]], buckets: int, credit: bool
             part = by[edges[k] : edges[k + 1]]
             share = pairs[k::buckets]
             if len(part) or len(share):
-                rows.append((k, h[part].tobytes(), d[part].tobytes(), np.packbits(known[part]).tobytes(), share.tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32()] + [pa.binary()] * 4, strict=True)], names=[f.split(" ")[0] for f in DEALT.split(", ")])
+                rows.append((k, first, short[part].tobytes(), (d[part] - first).astype(kind).tobytes(), np.packbits(known[part]).tobytes(), share.tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), pa.int64()] + [pa.binary()] * 4, strict=True)], names=[f.split(" ")[0] for f in DEALT.split(", ")])
 
     for doc, found in prefixes:
         docs.append(doc)
@@ -170,16 +173,26 @@ def _deal(prefixes: Iterator[tuple[int, np.ndarray]], buckets: int, credit: bool
         yield packed()
 
 
-def _meet(credit: bool):
-    """A bucket's rows to credits (doc, shared hashes) or links (doc, smallest doc)."""
+def _meet(dealt: DataFrame, credit: bool) -> DataFrame:
+    """Buckets to credits (doc, shared hashes) or links (doc, smallest doc); a task has whole buckets.
 
-    def run(rows):
-        import pandas as pd
+    Within a bucket 32 bits stand for a hash: two that fall together only add to what is looked at later.
+    """
 
-        hashes, docs = np.frombuffer(b"".join(rows["hashes"]), np.uint64), np.frombuffer(b"".join(rows["docs"]), np.int64)
-        told = [np.frombuffer(b"".join(rows["pairs"]), np.int64).reshape(-1, 2)]
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        hashes, docs, known, told = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, bool)], [np.empty((0, 2), np.int64)]
+        for batch in text_batches(batches, 256):
+            for r in batch.to_pylist():
+                h = np.frombuffer(r["hashes"], "<u4").astype(np.uint64)
+                kind = "<u4" if len(r["docs"]) == 4 * len(h) else "<i8"
+                hashes.append(h | np.uint64(r["bucket"]) << np.uint64(32))
+                docs.append(np.frombuffer(r["docs"], kind).astype(np.int64) + r["first"])
+                known.append(np.unpackbits(np.frombuffer(r["known"], np.uint8), count=len(h)).astype(bool))
+                told.append(np.frombuffer(r["pairs"], np.int64).reshape(-1, 2))
+        hashes, docs, known = np.concatenate(hashes), np.concatenate(docs), np.concatenate(known)
         if len(hashes):
-            known = np.concatenate([np.unpackbits(np.frombuffer(k, np.uint8), count=len(h) // 8).astype(bool) for k, h in zip(rows["known"], rows["hashes"], strict=True)])
             order, _, start, counts, group = _ordered(hashes, docs)
             d, known = docs[order], known[order]
             if credit:
@@ -189,9 +202,9 @@ def _meet(credit: bool):
                 take = counts[group] > 1
             told.append(_pairs(d[take], d[start][group][take], credit))
         told = np.concatenate(told)
-        return pd.DataFrame({"a": told[:, 0], "b": told[:, 1]})
+        yield pa.RecordBatch.from_arrays([pa.array(told[:, 0]), pa.array(told[:, 1])], names=["a", "b"])
 
-    return run
+    return dealt.repartition("bucket").mapInArrow(run, "a long, b long")
 
 
 # --- blocks ---------------------------------------------------------------------------------------
@@ -412,7 +425,7 @@ def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int =
 
         yield from _deal(prefixes(), buckets, True)
 
-    credits = rows.mapInArrow(wide, DEALT).groupBy("bucket").applyInPandas(_meet(True), "a long, b long").groupBy("a").agg(F.sum("b").alias("shared"))
+    credits = _meet(rows.mapInArrow(wide, DEALT), True).groupBy("a").agg(F.sum("b").alias("shared"))
     n, floor = F.col("n"), lambda x: F.floor(x).cast("long")
     least = floor((n * num + den - 1) / den)
     shared = lambda x: F.greatest(F.lit(1), floor(x * 8 / 100))
@@ -428,7 +441,7 @@ def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int =
 
         shingles, bitmap = Shingles(width), np.frombuffer(zlib.decompress(bits), np.uint8)
         for batch in text_batches(batches):
-            ids = np.array([0 if i is None else i for i in batch.column(0).to_pylist()], np.int64)
+            ids = np.array(batch.column(0).to_pylist(), np.int64)
             h = _place(ids)
             maybe = np.flatnonzero(bitmap[h >> 3] >> (h & 7).astype(np.uint8) & 1)
             if len(maybe):
@@ -436,8 +449,7 @@ def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int =
                 found = [shingles(t) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["doc", "n", "hashes"])
 
-    found = rows.mapInArrow(sets, "doc long, n long, hashes binary")
-    members = written(found.join(candidates.select(F.col("rep").alias("doc"), "n"), ["doc", "n"], "left_semi").dropDuplicates(["doc"]), f"{folder}/sets")
+    members = rows.where("doc_id is not null").mapInArrow(sets, "doc long, n long, hashes binary")
 
     def narrow(batches: Iterator) -> Iterator:
         def prefixes():
@@ -448,9 +460,9 @@ def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int =
 
         yield from _deal(prefixes(), buckets, False)
 
-    stars = members.select("doc", "hashes").mapInArrow(narrow, DEALT).groupBy("bucket").applyInPandas(_meet(False), "a long, b long")
+    stars = _meet(members.select("doc", "hashes").mapInArrow(narrow, DEALT), False)
     blocks = written(components(stars, f"{folder}/blocks"), f"{folder}/labels")
-    links = components(_blocks(members, blocks, bounds, most, most_docs, folder), f"{folder}/links")
+    links = components(_blocks(members, candidates, blocks, bounds, most, most_docs, folder), f"{folder}/links")
     links = written(links, f"{folder}/components")
 
     reps = classes.join(links.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component_id"))
@@ -484,18 +496,18 @@ def _bitmap(ids: DataFrame) -> bytes:
     return zlib.compress(bits.tobytes(), 1)
 
 
-def _blocks(members: DataFrame, blocks: DataFrame, bounds: Bounds, most: int, most_docs: int, folder: str) -> DataFrame:
+def _blocks(members: DataFrame, sizes: DataFrame, blocks: DataFrame, bounds: Bounds, most: int, most_docs: int, folder: str) -> DataFrame:
     """Links of all blocks: those of bounded size at once, larger ones chunk by chunk."""
-    sized = members.select("doc", "n").join(blocks, F.col("doc") == F.col("node")).groupBy("component").agg(F.count("*").alias("docs"), F.sum("n").alias("hashes"))
-    sized = written(sized.withColumn("chunks", F.greatest(F.ceil(F.col("docs") / most_docs), F.ceil(F.col("hashes") / most)).cast("long")), f"{folder}/sizes")
-    placed = members.join(blocks, F.col("doc") == F.col("node")).drop("node")
-    placed = written(placed.join(sized.select("component", "chunks"), "component"), f"{folder}/placed")
+    counted = blocks.join(sizes, F.col("node") == F.col("rep")).groupBy("component").agg(F.count("*").alias("docs"), F.sum("n").alias("hashes"))
+    counted = written(counted.withColumn("chunks", F.greatest(F.ceil(F.col("docs") / most_docs), F.ceil(F.col("hashes") / most)).cast("long")), f"{folder}/sizes")
+    places = written(blocks.join(counted.select("component", "chunks"), "component"), f"{folder}/places")
+    placed = members.join(places, F.col("doc") == F.col("node")).drop("node")
     chunk = lambda seed: F.pmod(F.xxhash64("doc", F.lit(seed)), F.col("chunks"))
     own = F.col("doc").alias("label")
     whole = _traversed(placed.where("chunks = 1").select(F.xxhash64("component", F.lit(0)).alias("block"), "doc", "hashes", own), bounds)
-    if sized.where("chunks > 1").limit(1).count() == 0:
+    if counted.where("chunks > 1").limit(1).count() == 0:
         return whole
-    large = placed.where("chunks > 1")
+    large = written(placed.where("chunks > 1"), f"{folder}/large")
     dealt = [large.select(F.xxhash64("component", F.lit(seed), chunk(seed)).alias("block"), "doc", "hashes", own) for seed in (1, 2)]
     first = written(whole.unionByName(_traversed(dealt[0].unionByName(dealt[1]), bounds)), f"{folder}/first")
 
