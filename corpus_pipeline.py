@@ -1,10 +1,56 @@
-"""The corpus pipeline: quality, near duplicates, decontamination, personal data, packing."""
+"""The corpus pipeline: quality, near duplicates, decontamination, personal data, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns documents with the columns it got, but for the last,
+which returns the packed pieces.  A stage works on every row that the one before it kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sedge.llm.decontamination import decontaminate
+from sedge.llm.jaccard_join import jaccard_components
+from sedge.llm.packing import pack
+from sedge.llm.pii import fit_pii, redact
+from sedge.llm.quality import fit_quality, keep_quality
+from sedge.llm.queries import WORD_BPE, table, tokenizer
+from sedge.llm.storage import new_folder, written
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    """n_chars brought in line with a changed text."""
+    return df.withColumn("n_chars", F.char_length("text").cast("long")).select(*df.columns) if "n_chars" in df.columns else df
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labels, doesn't reject."""
+    return keep_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of each group of near duplicates; rows without an id stay."""
+    found = jaccard_components(docs, width=5, num=75, den=100)
+    gone = written(found.where("component_id <> doc_id").select("doc_id").distinct(), new_folder(spark, "near-duplicates"))
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the benchmark's windows."""
+    return _sized(decontaminate(docs, table(spark, sf_dir, "benchmark")))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return _sized(redact(docs, fit_pii(docs)))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' ids packed into sequences of 4096."""
+    return pack(docs, tokenizer(WORD_BPE), capacity=4096, end_id=2)
+
 
-STAGES: list = []
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("personal_data", personal_data), ("packing", packing)]
 
 #: The stages include trained models and searches that SQL can't express; tests hold run() against brute force.
 ORACLE_SQL = None
@@ -12,7 +58,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages applied to the documents, each one's rows written and read again for the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    folder, docs = new_folder(spark, "pipeline"), table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = written(stage(spark, docs, sf_dir), f"{folder}/{k}-{name}")
     return docs

@@ -98,6 +98,14 @@ def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer(WORD_BPE), capacity=4096, end_id=2)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in documents."""
+    from .pii import digest_columns, find, fit_pii
+
+    docs = table(spark, sf_dir, "documents")
+    return digest_columns(find(docs, fit_pii(docs)))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked by 5-word shingles at a Jaccard similarity of 0.75 or more."""
     from .jaccard_join import jaccard_components
@@ -153,6 +161,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_decontamination": op4_decontamination,
         "op5_license_scan": op5_license_scan,
         "op6_harmonic_packing": op6_harmonic_packing,
+        "op7_pii": op7_pii,
         "op8_jaccard_join": op8_jaccard_join,
         "op9_exact_top_k": op9_exact_top_k,
         "op10_token_archive": op10_token_archive,
