@@ -71,8 +71,11 @@ class Shingles(dict):
         with np.errstate(over="ignore"):
             got = np.full(max(1, n - w + 1), min(n, w), np.uint64)
             for k in range(min(n, w)):
-                got = mixed(got * STEP + h[k : k + len(got)])
-        return np.unique(got)
+                got *= STEP
+                got += h[k : k + len(got)]
+        got = mixed(got)
+        got.sort()
+        return got[np.concatenate([[True], got[1:] != got[:-1]])]
 
 
 class Bounds:
@@ -391,7 +394,7 @@ def _traversed(rows: DataFrame, bounds: Bounds) -> DataFrame:
 # --- the join -------------------------------------------------------------------------------------
 
 
-def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int = 100, most: int = 2_000_000, most_docs: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int = 100, most: int = 6_000_000, most_docs: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; component_id is the smallest id it is linked to."""
     spark, bounds = df.sparkSession, Bounds(num, den)
     folder = new_folder(spark, "jaccard")
@@ -517,9 +520,11 @@ def _blocks(members: DataFrame, sizes: DataFrame, blocks: DataFrame, bounds: Bou
     # chunks of neighbouring sizes: each document meets its own chunk and those above whose sizes can link
     rest = written(large.join(open_, "component", "left_semi"), f"{folder}/open")
     cuts = rest.groupBy("component").agg(F.percentile_approx("n", [x / 65 for x in range(1, 65)], 1000).alias("cuts"))
-    step = F.size(F.filter("cuts", lambda c: c < F.col("n")))
-    fine = F.pmod(F.xxhash64("doc", F.lit(3)), F.ceil(F.col("chunks") / 8).cast("long"))
-    rest = rest.join(cuts, "component").withColumn("step", step).withColumn("fine", fine)
+    # as many size ranges as chunks are needed, and ranges of too many documents of like size in pieces
+    step = F.floor(F.size(F.filter("cuts", lambda c: c < F.col("n"))) * F.col("chunks") / 65).cast("int")
+    rest = rest.join(cuts, "component").withColumn("step", step).drop("cuts")
+    pieces = rest.groupBy("component", "step").agg(F.greatest(F.ceil(F.sum("n") / most), F.ceil(F.count("*") / most_docs)).cast("long").alias("pieces"))
+    rest = written(rest.join(pieces, ["component", "step"]).withColumn("fine", F.pmod(F.xxhash64("doc", F.lit(3)), F.col("pieces"))), f"{folder}/ranged")
     ranges = written(rest.groupBy("component", "step", "fine").agg(F.min("n").alias("low"), F.max("n").alias("high")), f"{folder}/ranges")
     x, y = ranges.alias("x"), ranges.alias("y")
     order = lambda t: F.struct(f"{t}.step", f"{t}.fine")
