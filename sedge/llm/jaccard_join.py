@@ -48,7 +48,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Shingles(dict):
     """Texts to sorted arrays of distinct shingle hashes; holds a bounded number of word hashes."""
 
-    def __init__(self, width: int = 5, most: int = 400_000):
+    def __init__(self, width: int = 5, most: int = 150_000):
         super().__init__()
         self.width, self.most = width, most
 
@@ -134,7 +134,7 @@ def _pairs(a: np.ndarray, b: np.ndarray, count: bool) -> np.ndarray:
     return np.stack([a[new], b[new]], 1)
 
 
-def _deal(prefixes: Iterator[tuple[int, np.ndarray]], buckets: int, credit: bool, most: int = 1_000_000) -> Iterator:
+def _deal(prefixes: Iterator[tuple[int, np.ndarray]], buckets: int, credit: bool, most: int = 300_000) -> Iterator:
     """A task's prefix hashes as one packed row for each bucket; what it knows itself goes along.
 
     A hash that several of its documents have is sent once: as known to be shared (credit), or with its
@@ -394,7 +394,7 @@ def _traversed(rows: DataFrame, bounds: Bounds) -> DataFrame:
 # --- the join -------------------------------------------------------------------------------------
 
 
-def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int = 100, most: int = 6_000_000, most_docs: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int = 100, most: int = 2_000_000, most_docs: int = 10_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; component_id is the smallest id it is linked to."""
     spark, bounds = df.sparkSession, Bounds(num, den)
     folder = new_folder(spark, "jaccard")
