@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,12 +29,25 @@ def grouped(found: DataFrame, by: str = "label") -> DataFrame:
     return found.groupBy(by).agg(F.min("distance").alias("best"), F.count("*").alias("n"))
 
 
-def hashed_embedding(text: Column, dims: int = 64) -> Column:
-    """A unit vector of hashed words: the stand-in encoder where no model is injected."""
-    places = F.transform(F.split(F.lower(F.trim(text)), r"\s+"), lambda w: F.pmod(F.xxhash64(w), F.lit(dims)).cast("int"))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.size(F.filter(places, lambda p: p == d)).cast("double"))
-    norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda s, x: s + x * x))
-    return F.transform(counts, lambda x: F.when(norm > 0, x / norm).otherwise(0.0))
+def hashed_embedding(df: DataFrame, dims: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, embedding): a unit vector of hashed words, the stand-in encoder where no model is injected."""
+
+    def run(batches: Iterator) -> Iterator:
+        import zlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            out = np.zeros((batch.num_rows, dims))
+            for i, t in enumerate(batch.column(1).to_pylist()):
+                words = (t or "").lower().split()
+                if words:
+                    out[i] = np.bincount([zlib.crc32(w.encode()) % dims for w in words], minlength=dims)
+                    out[i] /= np.linalg.norm(out[i])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(out), pa.list_(pa.float64()))], names=["doc_id", "embedding"])
+
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, embedding array<double>")
 
 
 def best_per_group(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:

@@ -299,17 +299,17 @@ up_(doc_id, node, ancestor, hops) AS (SELECT doc_id, node, ancestor, 1 FROM st_
 
 @query(f"WITH RECURSIVE {UP} SELECT doc_id, node, CAST(max(hops) AS INTEGER) AS hops FROM up_ GROUP BY ALL")
 def graph_ascend(spark, sf):
-    return G.ancestors(G.edges(E.structured(docs(spark, sf)))).groupBy("doc_id", "node").agg(F.max("hops").alias("hops"))
+    return G.ancestors(G.edges(E.structured(docs(spark, sf))), depth=5).groupBy("doc_id", "node").agg(F.max("hops").alias("hops"))
 
 
 @query(f"WITH RECURSIVE {UP} SELECT doc_id, ancestor AS root, count(*) AS n FROM up_ GROUP BY ALL")
 def graph_subtree(spark, sf):
-    return G.ancestors(G.edges(E.structured(docs(spark, sf)))).groupBy("doc_id", F.col("ancestor").alias("root")).agg(F.count("*").alias("n"))
+    return G.ancestors(G.edges(E.structured(docs(spark, sf))), depth=5).groupBy("doc_id", F.col("ancestor").alias("root")).agg(F.count("*").alias("n"))
 
 
 @query(f"WITH RECURSIVE {UP} SELECT CAST(hops AS INTEGER) AS hops, count(*) AS n FROM up_ GROUP BY hops")
 def graph_path_lengths(spark, sf):
-    return G.ancestors(G.edges(E.structured(docs(spark, sf)))).groupBy("hops").agg(F.count("*").alias("n"))
+    return G.ancestors(G.edges(E.structured(docs(spark, sf))), depth=5).groupBy("hops").agg(F.count("*").alias("n"))
 
 
 @query(f"WITH RECURSIVE {TREE} SELECT doc_id, reference_id, string_agg(text, chr(10) ORDER BY ord) AS context FROM tree_ GROUP BY ALL")
@@ -351,7 +351,7 @@ def knn_grouped(spark, sf):
 
 @query()
 def hash_embed(spark, sf):
-    return docs(spark, sf).select("doc_id", V.hashed_embedding(F.coalesce("text", F.lit(""))).alias("embedding"))
+    return V.hashed_embedding(docs(spark, sf))
 
 
 # --- reports --------------------------------------------------------------------------------------
