@@ -8,11 +8,12 @@ from pyspark.sql import SparkSession
 def session(app: str = "sedge", **settings: str) -> SparkSession:
     """A session with the engine's defaults; the cluster's own settings and ``settings`` take precedence."""
     builder = SparkSession.builder.appName(app)
-    for k, v in {
+    defaults = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-    }.items() | settings.items():
+    }
+    for k, v in (defaults | settings).items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
