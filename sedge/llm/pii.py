@@ -188,24 +188,27 @@ def fit_pii(df: DataFrame, sample: int = 10_000, text_col: str = "text") -> Mode
     return fit_rows(x, np.array([r.base for r in found], np.float64))
 
 
-def spans(text: Column, model: Model) -> Column:
-    """array<struct<start, kind, end, base>>: base spans and those that the model adds, in order."""
+def with_spans(df: DataFrame, text: Column, model: Model) -> DataFrame:
+    """Adds __spans, array<struct<start, kind, end, base>>: base spans and those the model adds, in order.
+
+    Proposals and base spans are columns of their own, so that a lambda never evaluates them again.
+    """
     all_ = F.transform(candidates(text), lambda c: described(text, c))
-    base = F.filter(all_, lambda c: c["base"])
+    df = df.withColumn("__all", F.when(text.rlike("[0-9@]"), all_)).withColumn("__base", F.filter("__all", lambda c: c["base"]))
     short = lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"), c["base"].alias("base"))
-    kept = F.transform(base, short)
-    if not model.trees:
-        return F.array_sort(kept)
-    apart = lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    more = F.transform(F.filter(all_, lambda c: ~c["base"] & model.selects(c) & apart(c)), short)
-    return F.array_sort(F.array_distinct(F.concat(kept, more)))
+    apart = lambda c: ~F.exists("__base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+    found = F.transform("__base", short)
+    if model.trees:
+        more = F.transform(F.filter("__all", lambda c: ~c["base"] & model.selects(c) & apart(c)), short)
+        found = F.array_distinct(F.concat(found, more))
+    return df.withColumn("__spans", F.array_sort(found)).drop("__all", "__base")
 
 
 def find(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, spans array<struct<start, kind, end, base>>) of every row."""
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     none = F.array().cast("array<struct<start:int,kind:int,end:int,base:boolean>>")
-    return rows.select("doc_id", F.when(F.col("text").rlike("[0-9@]"), spans(F.col("text"), model)).otherwise(none).alias("spans"))
+    return with_spans(rows, F.col("text"), model).select("doc_id", F.coalesce("__spans", none).alias("spans"))
 
 
 def digest_columns(found: DataFrame) -> DataFrame:
@@ -228,5 +231,5 @@ def redact(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), before.alias("out"))
 
     done = F.aggregate("__spans", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
-    marked = df.withColumn("__spans", F.when(text.rlike("[0-9@]"), spans(text, model)))
+    marked = with_spans(df, text, model)
     return marked.withColumn(text_col, F.when(F.size("__spans") > 0, done).otherwise(text)).select(*df.columns)
