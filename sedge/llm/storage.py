@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL: list[str] = []
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,8 +33,17 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, folder: str) -> DataFrame:
-    """The table written to the shared folder and read again: cuts the lineage and survives lost executors."""
-    df.write.mode("overwrite").parquet(folder)
+    """The table written to the shared folder and read again: cuts the lineage and survives lost executors.
+
+    Its shuffle files go once it is written, as nothing reads them any more.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(folder)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
