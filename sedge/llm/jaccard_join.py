@@ -7,8 +7,10 @@ of at least ``num / den`` of the union.  The join loses no link and caps nothing
 2. A document can only link if its prefix (its smallest hashes, a third or so) shares enough hashes
    with those of others.  Prefix hashes meet in hash buckets as packed arrays; a task sends each hash
    once however many of its documents have it, so a frequent hash costs a bucket one entry a task.
-3. Candidates that share a hash of their (shorter) prefixes are put in one block: components of stars
-   that the buckets return.  Every link lies within a block.
+3. Candidates that share a key are put in one block: components of stars that the buckets return.  A key
+   is a run of ``RUN`` neighbours in a sorted set, with a range of set sizes: one set's elements that the
+   other lacks break few runs, so linked sets share some, while texts with a passage in common hardly do.
+   Every link lies within a block.
 4. In a block, documents are ordered by smallest hash and become the leaves of a signature tree: a node
    holds the OR of its documents' bitmaps and the range of their set sizes.  A dual traversal prunes
    node pairs whose sizes or whose largest possible overlap rule a link out, and those whose documents
@@ -25,6 +27,7 @@ names can't clash.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -34,6 +37,8 @@ from .components import components
 from .storage import new_folder, text_batches, written
 
 LEAF = 4
+RUN = 3
+SHARED = 25  # per cent of a set
 MIX_A, MIX_B, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -89,7 +94,7 @@ class Bounds:
         return -(-n * self.num // self.den)
 
     def shared(self, n: int) -> int:
-        return max(1, n * 8 // 100)
+        return max(1, n * SHARED // 100)
 
     def prefix(self, n: int) -> int:
         return n - self.least(n) + 1
@@ -101,6 +106,42 @@ class Bounds:
     def needed(self, n: int) -> int:
         return min(self.shared(self.least(n)), self.wide(n))
 
+    def runs(self, n: int) -> int:
+        """So many runs, at least, a set of n shares with any that it links to: of i shared elements in
+        order i - RUN + 1 runs can be formed, and each of the u - i others breaks at most RUN - 1."""
+        return -(-n * (self.den - RUN * (self.den - self.num)) // self.den) - RUN + 1
+
+    @cached_property
+    def long(self) -> int | None:
+        """Sets from this size on always share a run; None if no size has that."""
+        return next((n for n in range(RUN, 10_000) if self.runs(n) > 0), None) if self.den > RUN * (self.den - self.num) else None
+
+    @cached_property
+    def sizes(self) -> np.ndarray:
+        """Lower bounds of size ranges; linked sets lie in the same or in neighbouring ones."""
+        found = [1]
+        while found[-1] < 1 << 40:
+            found.append(max(found[-1] * self.den // self.num, found[-1] * 9 // 8) + 1)
+        return np.array(found, np.int64)
+
+    def keys(self, s: np.ndarray) -> np.ndarray:
+        """Keys of a sorted set; linked sets share one at least.
+
+        Short sets have their prefix; those near the limit have both kinds.
+        """
+        n, found = len(s), []
+        size = int(np.searchsorted(self.sizes, n, "right"))
+        with np.errstate(over="ignore"):
+            if self.long is None or n * self.num < self.long * self.den:
+                found.append(s[: self.prefix(n)])
+            if self.long is not None and n >= self.long:
+                runs = s[: n - RUN + 1]
+                for k in range(1, RUN):
+                    runs = mixed(runs * STEP + s[k : n - RUN + 1 + k])
+                most = n - RUN + 1 - self.runs(n) + 1
+                found.append(np.partition(runs, most - 1)[:most] if most < len(runs) else runs)
+            return np.concatenate([mixed(f + np.uint64(size + k) * STEP) for f in found for k in (0, 1)])
+
     def overlap(self, a, b):
         """The smallest intersection of linked sets of sizes a and b."""
         return -(-(a + b) * self.num // (self.num + self.den))
@@ -431,7 +472,7 @@ def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int =
     credits = _meet(rows.mapInArrow(wide, DEALT), True).groupBy("a").agg(F.sum("b").alias("shared"))
     n, floor = F.col("n"), lambda x: F.floor(x).cast("long")
     least = floor((n * num + den - 1) / den)
-    shared = lambda x: F.greatest(F.lit(1), floor(x * 8 / 100))
+    shared = lambda x: F.greatest(F.lit(1), floor(x * SHARED / 100))
     needed = F.least(shared(least), F.least(n, n - least + shared(n)))
     candidates = written(classes.join(credits, F.col("rep") == F.col("a")).where(F.col("shared") >= needed).select("rep", "n"), f"{folder}/candidates")
 
@@ -458,8 +499,7 @@ def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int =
         def prefixes():
             for batch in text_batches(batches):
                 for doc, hashes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    s = np.frombuffer(hashes, np.uint64)
-                    yield doc, s[: bounds.prefix(len(s))]
+                    yield doc, bounds.keys(np.frombuffer(hashes, np.uint64))
 
         yield from _deal(prefixes(), buckets, False)
 

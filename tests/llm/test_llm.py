@@ -234,6 +234,22 @@ def test_jaccard_join(spark, limits):
     assert not limits or jaccard_components(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize(("num", "den"), [(75, 100), (50, 100), (68, 100), (9, 10), (1, 1)])
+def test_jaccard_keys(num, den):
+    """Linked sets share a key, whichever elements of their union one of them lacks."""
+    from sedge.llm.jaccard_join import Bounds
+
+    rng, bounds = np.random.default_rng(1), Bounds(num, den)
+    for trial in range(800):
+        union = np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 60 if trial % 2 else 400))).astype(np.uint64))
+        lacking = len(union) - -(-len(union) * num // den)
+        at = np.unique(np.linspace(0, len(union) - 1, lacking).astype(int)) if trial % 3 else rng.permutation(len(union))[:lacking]
+        side = rng.random(len(at)) < rng.choice([0, 0.2, 0.5, 1])
+        a, b = np.delete(union, at[side]), np.delete(union, at[~side])
+        if len(a) and len(b):
+            assert np.intersect1d(bounds.keys(a), bounds.keys(b)).size
+
+
 def test_exact_top_k(spark):
     from sedge.llm.exact_top_k import top_k
 
