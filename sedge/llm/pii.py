@@ -1,13 +1,17 @@
 """Personal data by boosted trees over candidate spans, in DataFrame operations alone.
 
 Per kind, a strict pattern with its checks gives the base spans.  High-recall generators propose
-candidates besides: every base-shaped match whether or not it passes its check, and every run of digits
-as each numeric kind, so proposals overlap.  Boosted trees score a candidate by its format and context;
-a calibrated threshold selects, and selected candidates that touch no base span are added to the base.
-
-The trees learn from a bounded sample of candidates (``sample``, smallest hashes first): those that are
-base spans are the positive ones.  Half of the sample fits them, the other half sets the threshold, the
-lowest score from which on at least ``precision`` of that half is positive.  On the main path the trees
+candidates besides: every base-shaped match whether or not it passes its check, every run of digits as
+each numeric kind, card-sized groups of digits within longer runs, and addresses with other letters or
+with their signs spelt out, so proposals overlap.  Boosted trees, one model a kind, score a candidate by
+its format and context; a calibrated threshold selects, and selected candidates that touch no base span
+are added to the base, the first of those that overlap.
+
+The trees learn from a bounded sample (``sample``, smallest hashes first), half of it base spans, which
+are positive, half of it candidates that touch none and so could be added: these are positive by
+``plausible``, a check that doesn't depend on the base patterns.  Other candidates are left out.  Half of
+the sample fits the trees, the other half sets the threshold, the lowest score from which on at least
+``precision`` of that half's candidates that could be added are positive.  On the main path the trees
 are nested CASE expressions inside array functions; no row leaves the JVM and nothing is shuffled.
 
 Defined cases: a null text counts as empty; a null id is passed through; repeated rows give repeated
@@ -29,10 +33,16 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-DIGITS = r"[0-9](?:[\x20().-]{0,2}+[0-9]){6,24}+"
+DIGITS = r"[(0-9](?:(?<=[0-9])|(?<=\()(?=[0-9]{1,5}\))[0-9])(?:[\x20().-]{0,2}+[0-9]){6,24}+"
+CARDS = r"[0-9](?<![0-9][0-9])(?:[0-9]{13,18}+|[0-9]{3}(?:[\x20.-][0-9]{4}){3}|[0-9]{3}[\x20.-][0-9]{6}[\x20.-][0-9]{4,5}+)(?![0-9])"
+_WORD, _OPEN, _SHUT = r"[\p{L}\p{N}-]{1,63}+", r"\x20?[(\[{<]\x20?", r"\x20?[)\]}>]\x20?"
+_DOT = rf"(?:\.|{_OPEN}(?i:dot|\.){_SHUT}|\x20(?i:dot|\.)\x20)"
+MAIL = rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}._%+-]{{1,64}}+(?:(?:\x20?@\x20?|{_OPEN}(?i:at|@){_SHUT}){_WORD}(?:{_DOT}{_WORD}){{1,5}}|\x20(?i:at)\x20{_WORD}(?:\x20(?i:dot)\x20{_WORD}){{1,5}})"
+AT = r"[(\[{<]\x20?(?i:at)\x20?[)\]}>]"
+TOP = r"(?i)[^\p{L}](?:[a-z]{2}|com|org|net|edu|gov|mil|int|info|biz|name|app|dev|[\p{L}&&[^a-z]]{2,24})$"
 OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 CONTEXT = 24
-FEATURES = ["kind", "n_chars", "n_digits", "n_groups", "dots", "dashes", "spaces", "plus_before", "bracket", "luhn", "octets", "word_before", "word_after", "digit_after", "names_phone", "names_card", "names_ip", "names_mail"]
+FEATURES = ["kind", "n_chars", "n_digits", "n_groups", "dots", "dashes", "spaces", "plus_before", "bracket", "luhn", "octets", "word_before", "word_after", "digit_after", "names_phone", "names_card", "names_ip", "names_mail", "joined_before", "card_groups", "top", "bare"]
 
 
 def spans_of(text: Column, pattern: str, gate: Column) -> Column:
@@ -54,6 +64,27 @@ def valid(kind: str, m: Column) -> Column:
     return {"email": F.lit(True), "ip": m.rlike(rf"^{OCTET}\.{OCTET}\.{OCTET}\.{OCTET}$"), "card": n.between(14, 19) & F.coalesce(F.call_function("luhn_check", digits_of(m)), F.lit(False)), "phone": n.between(10, 15)}[kind]
 
 
+def plausible(c: Column) -> Column:
+    """Whether a described candidate is personal data by format and context, whatever the base patterns say."""
+    x = lambda name: c[f"x{FEATURES.index(name)}"]
+    is_ = lambda name: x(name) == 1
+    n, apart = x("n_digits"), ~is_("joined_before") & ~is_("word_after") & ~is_("digit_after")
+    card = apart & is_("luhn") & is_("card_groups") & n.between(14, 19)
+    phone = apart & ~card & is_("names_phone") & n.between(10, 15)
+    checks = [is_("top") & (~is_("bare") | is_("names_mail")), apart & is_("octets") & is_("names_ip"), card, phone]
+    return F.element_at(F.array(*checks), x("kind").cast("int") + 1)
+
+
+def spells_mail(text: Column) -> Column:
+    """A cheap test that every text with a match of ``MAIL`` passes."""
+    return text.contains("@") | text.rlike(r"\x20(?i:dot)\x20") | text.rlike(AT)
+
+
+def proposes(text: Column) -> Column:
+    """Whether a text can have candidates at all."""
+    return text.rlike("[0-9]") | spells_mail(text)
+
+
 def candidates(text: Column) -> Column:
     """array<struct<start, end, kind, m, base>> of all proposals."""
     digits, mail = text.rlike("[0-9]"), text.contains("@")
@@ -64,7 +95,9 @@ def candidates(text: Column) -> Column:
 
     parts = [proposed(spans_of(text, PATTERNS[kind], gate[kind]), k, True) for k, kind in enumerate(KINDS)]
     loose = spans_of(text, DIGITS, digits)
-    parts += [proposed(loose, k, False) for k in (1, 2, 3)]
+    each = lambda s: F.array(*[F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(k).alias("kind"), s["m"].alias("m"), F.lit(False).alias("base")) for k in (1, 2, 3)])
+    parts.append(F.flatten(F.transform(loose, each)))
+    parts += [proposed(spans_of(text, CARDS, text.rlike("[0-9]{4}")), 2, False), proposed(spans_of(text, MAIL, spells_mail(text)), 0, False)]
     return F.flatten(F.array(*parts))
 
 
@@ -73,19 +106,20 @@ def described(text: Column, c: Column) -> Column:
     m = c["m"]
     before = F.lower(F.substring(text, F.greatest(c["start"] - CONTEXT + 1, F.lit(1)), F.least(c["start"], F.lit(CONTEXT))))
     after = F.substring(text, c["end"] + 1, F.lit(2))
+    groups = F.trim(F.regexp_replace(m, "[^0-9]+", " "))
     count = lambda chars: F.length(m) - F.length(F.translate(m, chars, ""))
     values = [
         c["kind"],
         F.char_length(m),
         F.length(digits_of(m)),
-        F.size(F.split(F.trim(F.regexp_replace(m, "[^0-9]+", " ")), " ")),
+        F.size(F.split(groups, " ")),
         count("."),
         count("-"),
         count(" "),
         F.substring(m, 1, 1) == "+",
         count("()"),
         F.coalesce(F.call_function("luhn_check", digits_of(m)), F.lit(False)),
-        valid("ip", m),
+        groups.rlike(rf"^{OCTET} {OCTET} {OCTET} {OCTET}$"),
         before.rlike(r"[\p{L}\p{N}_=\"'.+-]$"),
         after.rlike(r"^[\p{L}_]"),
         after.rlike(r"^[.-]?[0-9]"),
@@ -93,6 +127,10 @@ def described(text: Column, c: Column) -> Column:
         before.rlike(r"\b(?:card|visa|credit|payment|account)\b"),
         before.rlike(r"\b(?:ip|host|address|server)\b"),
         before.rlike(r"\b(?:e-?mail|contact|mail)\b"),
+        before.rlike(r"[\p{L}\p{N}]$"),
+        groups.rlike("^(?:[0-9]{14,19}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{2,4}(?: [0-9]{1,3})?|[0-9]{4} [0-9]{6} [0-9]{4,5})$"),
+        m.rlike(TOP),
+        m.rlike(r"\x20@|@\x20|\x20(?i:at)\x20") & ~m.rlike(rf"{_OPEN}(?i:at|@){_SHUT}"),
     ]
     return F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"), c["base"].alias("base"), *[F.coalesce(v.cast("double"), F.lit(0.0)).alias(f"x{i}") for i, v in enumerate(values)])
 
@@ -153,10 +191,27 @@ class Model:
         return z >= self.threshold
 
 
-def fit_rows(x: np.ndarray, y: np.ndarray, rounds: int = 12, depth: int = 3, rate: float = 0.4, precision: float = 0.995) -> Model:
-    """Trees from the even rows, the threshold from the odd ones."""
-    fit, held = np.arange(len(y)) % 2 == 0, np.arange(len(y)) % 2 == 1
-    if not len(y) or y[fit].min(initial=1) == y[fit].max(initial=0) or not held.any():
+class Models:
+    """A model for each kind."""
+
+    def __init__(self, models: list[Model]):
+        self.models, self.trees = models, [t for m in models for t in m.trees]
+
+    def selects(self, c: Column) -> Column:
+        chosen = F.lit(False)
+        for k, m in enumerate(self.models):
+            chosen = F.when(c["kind"] == k, m.selects(c)).otherwise(chosen)
+        return chosen
+
+
+def fit_rows(x: np.ndarray, y: np.ndarray, new: np.ndarray, rounds: int = 12, depth: int = 3, rate: float = 0.4, precision: float = 0.995) -> Model:
+    """Trees from the even rows, the threshold from the odd ones that could be added (``new``)."""
+    fit, held = np.arange(len(y)) % 2 == 0, (np.arange(len(y)) % 2 == 1) & new
+    if not y[held].any() or not y[fit].any():
+        return Model([])
+    if y[fit].all() and y[held].all():  # no proposal of this kind is a wrong one
+        return Model([0.0], 0.0, 0.0)
+    if y[fit].all():
         return Model([])
     share = y[fit].mean()
     model = Model([], float(np.log(share / (1 - share))))
@@ -178,29 +233,42 @@ def _scaled(tree, rate: float):
     return tree * rate if isinstance(tree, float) else (*tree[:2], _scaled(tree[2], rate), _scaled(tree[3], rate))
 
 
-def fit_pii(df: DataFrame, sample: int = 10_000, text_col: str = "text") -> Model:
-    """The model learnt from at most ``sample`` candidates."""
+def _apart(c: Column, base: Column) -> Column:
+    return ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+
+
+def fit_pii(df: DataFrame, sample: int = 10_000, text_col: str = "text") -> Models:
+    """The models learnt from at most ``sample`` candidates."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = df.select(text.alias("text")).where(F.col("text").rlike("[0-9@]")).select("text", F.explode(candidates(F.col("text"))).alias("c"))
-    rows = rows.select(described(F.col("text"), F.col("c")).alias("c"), F.xxhash64("text", "c.start", "c.kind", "c.base").alias("h"))
-    found = rows.orderBy("h").limit(sample).select("c.*").collect()
+    rows = df.select(text.alias("text")).where(proposes(F.col("text"))).select("text", candidates(F.col("text")).alias("all"))
+    rows = rows.withColumn("base", F.filter("all", lambda c: c["base"]))
+
+    def drawn(which: Column) -> list:
+        # outer: a plain explode infers a filter below, which evaluates the candidates again for every element
+        found = rows.select("text", F.explode_outer(which).alias("c")).where("c is not null")
+        found = found.select(described(F.col("text"), F.col("c")).alias("c"), F.xxhash64("text", "c.start", "c.end", "c.kind").alias("h"))
+        return found.orderBy("h").limit(sample // 2).select("c.*", F.when(F.col("c.base"), True).otherwise(plausible(F.col("c"))).alias("y")).collect()
+
+    found = drawn(F.col("base")) + drawn(F.filter("all", lambda c: ~c["base"] & _apart(c, F.col("base"))))
     x = np.array([[r[f"x{i}"] for i in range(len(FEATURES))] for r in found], np.float64).reshape(len(found), len(FEATURES))
-    return fit_rows(x, np.array([r.base for r in found], np.float64))
+    y, new = np.array([r.y for r in found], np.float64), np.array([not r.base for r in found], bool)
+    return Models([fit_rows(x[of], y[of], new[of]) for of in (x[:, 0] == k for k in range(len(KINDS)))])
 
 
-def with_spans(df: DataFrame, text: Column, model: Model) -> DataFrame:
+def with_spans(df: DataFrame, text: Column, model: Models) -> DataFrame:
     """Adds __spans, array<struct<start, kind, end, base>>: base spans and those the model adds, in order.
 
     Proposals and base spans are columns of their own, so that a lambda never evaluates them again.
     """
     all_ = F.transform(candidates(text), lambda c: described(text, c))
-    df = df.withColumn("__all", F.when(text.rlike("[0-9@]"), all_)).withColumn("__base", F.filter("__all", lambda c: c["base"]))
+    df = df.withColumn("__all", F.when(proposes(text), all_)).withColumn("__base", F.filter("__all", lambda c: c["base"]))
     short = lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"), c["base"].alias("base"))
-    apart = lambda c: ~F.exists("__base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
     found = F.transform("__base", short)
     if model.trees:
-        more = F.transform(F.filter("__all", lambda c: ~c["base"] & model.selects(c) & apart(c)), short)
-        found = F.array_distinct(F.concat(found, more))
+        more = F.array_sort(F.transform(F.filter("__all", lambda c: ~c["base"] & model.selects(c) & _apart(c, F.col("__base"))), short))
+        none = F.array().cast("array<struct<start:int,kind:int,end:int,base:boolean>>")
+        first = lambda acc, c: F.when((F.size(acc) == 0) | (c["start"] >= F.element_at(acc, -1)["end"]), F.array_append(acc, c)).otherwise(acc)
+        found = F.concat(found, F.aggregate(more, none, first))
     return df.withColumn("__spans", F.array_sort(found)).drop("__all", "__base")
 
 

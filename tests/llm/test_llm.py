@@ -192,6 +192,27 @@ def test_pii(spark, docs, empty):
     assert clean[8] == "mail me at [EMAIL] or [PHONE], [IP]" and clean[0] is None and clean[3] == "a b c"
 
 
+def test_pii_adds_spans_that_the_base_patterns_miss(spark):
+    from sedge.llm.pii import find, fit_pii, redact
+
+    r = random.Random(7)
+
+    def card():
+        d = str(r.randrange(4 * 10**14, 5 * 10**14))
+        d += next(c for c in "0123456789" if _luhn(d + c))
+        return d[:4], d[4:8], d[8:12], d[12:]
+
+    phone = lambda: f"({r.randrange(200, 999)}) 555-{r.randrange(1000, 9999)}"
+    shapes = [lambda: f"tel. {phone()} x", lambda: "paid by " + ".".join(card()) + " x", lambda: " ".join(["".join(card())] * 2), lambda: f"part {phone()} x", lambda: f"sums {r.randrange(10**15)} x", lambda: f"see {r.randrange(10**6)}.{r.randrange(10**6)} x", lambda: f"mail jane{r.randrange(99)} (at) mail{r.randrange(9)} (dot) org x", lambda: f"m{r.randrange(99)} (at) noon (dot) x", lambda: f"b{r.randrange(99)}@c.example.com x", lambda: f"+1 {phone()} x"]
+    df = spark.createDataFrame([(i, shapes[i % len(shapes)]()) for i in range(1800)], "doc_id long, text string")
+    model = fit_pii(df)
+    told = ["tel. (269) 555-3296 now", "paid by 4532.0151.1283.0366 now", "part (269) 555-3296 now", "paid by 4532.0151.1283.0367 now", "mail joe (at) mail7 (dot) org now", "4532015112830366 4532015112830366", "tel. +1 (269) 555-3296 now"]
+    docs = spark.createDataFrame(list(enumerate(told)), "doc_id long, text string")
+    got = [x.text for x in redact(docs, model).orderBy("doc_id").collect()]
+    assert got == ["tel. [PHONE] now", "paid by [CARD] now", told[2], told[3], "mail [EMAIL] now", "[CARD] [CARD]", "tel. [PHONE] now"]
+    assert [[s.base for s in x.spans] for x in find(docs, model).orderBy("doc_id").collect()] == [[False], [False], [], [], [False], [False, False], [True]]
+
+
 def _components(rows):
     sets = {}
     for d, t in rows:
