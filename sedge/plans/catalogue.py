@@ -139,7 +139,7 @@ def language_confusion(spark, sf):
 
 @query(f"WITH {LINES}, b AS (SELECT doc_id, pos, text, coalesce(sum(length(text)) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM line_ WHERE text <> '') SELECT doc_id, string_agg(text, ' ' ORDER BY pos) AS sample FROM b WHERE before < 2000 GROUP BY doc_id")
 def language_sample(spark, sf):
-    return T.language_sample(E.line_elements(docs(spark, sf)), most=2000)
+    return T.language_sample(E.line_elements(docs(spark, sf)))
 
 
 NAMED = [("13. Appendix", "appendix", False), ("0. Preface", "preface", False), ("A. Key Terms", "key terms", False), ("Table des Matières", "table des matieres", True), ("12", "12", False), ("  About   the — Author!  ", "about the author", True), ("Index", "index", True)]

@@ -102,3 +102,11 @@ def test_stream_ingest_is_incremental(spark, tmp_path):
     docs.where("doc_id between 20 and 29").write.mode("append").parquet(str(tmp_path / "in"))
     ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check"))
     assert spark.read.parquet(str(tmp_path / "out/elements")).select("doc_id").distinct().count() == 30
+
+
+def test_language_sample_goes_on_to_20000_characters(spark, tmp_path):
+    from sedge.plans import catalogue
+
+    lines = ["a" * 1000] * 25
+    spark.createDataFrame([(1, "x", "\n".join(lines))], "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [r["sample"] for r in catalogue.queries()["language_sample"](spark, str(tmp_path)).collect()] == [" ".join(lines[:20])]
