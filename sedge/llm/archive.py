@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import filesystem
+from .storage import MOST_PARTITIONS, filesystem, lean
 
 MANIFEST = "shard int, part int, staged string, file string, n_records long, n_units long, n_bytes long, sha256 string"
 
@@ -90,11 +90,11 @@ def manifest(spark, folder: str) -> DataFrame:
 
 def each_file(files: DataFrame, read: Callable[[str, dict], Iterator], folder: str, schema: str) -> DataFrame:
     """``read(uri, manifest row)``'s record batches for every committed file, one task for a few files."""
-    n = max(1, files.count())
+    n = min(max(1, files.count()), MOST_PARTITIONS)
 
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
             for r in batch.to_pylist():
                 yield from read(f"{folder}/{r['file']}", r)
 
-    return files.repartitionByRange(n, F.col("shard"), F.col("part")).mapInArrow(run, schema)
+    return files.repartitionByRange(n, F.col("shard"), F.col("part")).mapInArrow(lean(run), schema)

@@ -10,9 +10,12 @@ first ``sample_bytes`` bytes of each; only compression depends on it).  A shard
 
 A single short document is one index lookup and one small frame (``lookup``).
 
+Shards hold about ``shard_bytes`` of text each, and a task writes each; an id (or null) that holds more than
+a shard is cut by a hash of the text.
+
 Defined cases: a null text counts as empty and has the end id alone; null ids come first; rows with
-equal ids are ordered by their frames; an empty table gives an archive of no files; other columns
-are left out, so their names can't clash.
+equal ids are ordered by a hash of their text, then by their frames; an empty table gives an archive of no
+files; other columns are left out, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .archive import Output, attempt_name, each_file, manifest, manifest_batch, publish
-from .storage import filesystem, range_bounds, shard_of, text_batches
+from .storage import Shards, filesystem, lean, new_folder, removed, text_batches, written
 from .word_ids import word_ids
 
 MAGIC = b"SDGTOK1\0"
@@ -63,7 +66,7 @@ def _reader(folder: str, digest: str):
     return zstandard.ZstdDecompressor(dict_data=_with(raw))
 
 
-def write_token_archive(df: DataFrame, folder: str, tokenizer: str, end_id: int = 1, shard_rows: int = 16_384, sample_docs: int = 2_000, sample_bytes: int = 8_192, dictionary_bytes: int = 65_536, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_token_archive(df: DataFrame, folder: str, tokenizer: str, end_id: int = 1, shard_bytes: int = 64 << 20, sample_docs: int = 2_000, sample_bytes: int = 8_192, dictionary_bytes: int = 65_536, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes every whole text and writes the archive; returns its manifest.
 
     Only compressed frames are shuffled, once, by deterministic ranges of the id.
@@ -72,7 +75,9 @@ def write_token_archive(df: DataFrame, folder: str, tokenizer: str, end_id: int
 
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    total = rows.count()
+    folder_ = new_folder(spark, "tokens")
+    narrow = written(rows.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 32).cast("long").alias("weight")), f"{folder_}/narrow")
+    total = narrow.count()
 
     def serialized(text: str | None, width: int) -> tuple[int, bytes]:
         ids = np.frombuffer(word_ids(tokenizer)(text or "") + int(end_id).to_bytes(4, "little"), "<u4")
@@ -88,14 +93,14 @@ def write_token_archive(df: DataFrame, folder: str, tokenizer: str, end_id: int
 
     share = min(1.0, 1.5 * sample_docs / max(1, total))
     some = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text").limit(sample_docs)
-    raw = _dictionary(sorted(r.ids for r in some.mapInArrow(sampled, "ids binary").collect()), dictionary_bytes)
+    raw = _dictionary(sorted(r.ids for r in some.mapInArrow(lean(sampled), "ids binary").collect()), dictionary_bytes)
     digest = hashlib.sha256(raw).hexdigest()
     fs, top = filesystem(folder)
     fs.create_dir(top, recursive=True)
     with fs.open_output_stream(f"{top}/dictionary-{digest}") as file:
         file.write(raw)
 
-    bounds = range_bounds(rows.select("doc_id"), "doc_id", F.lit(1), shard_rows)
+    shards = Shards(narrow, "doc_id", "weight", shard_bytes)
 
     def compress(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -103,10 +108,10 @@ def write_token_archive(df: DataFrame, folder: str, tokenizer: str, end_id: int
 
         codec = zstandard.ZstdCompressor(level=3, dict_data=_with(raw), write_checksum=False)
         for batch in text_batches(batches):
-            got = [serialized(t, width) for t in batch.column(2).to_pylist()]
+            got = [serialized(t, width) for t in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([n for n, _ in got], pa.int64()), pa.array([codec.compress(b) for _, b in got], pa.binary())],
-                names=["shard", "doc_id", "n_tokens", "frame"],
+                [*batch.columns[:3], pa.array([n for n, _ in got], pa.int64()), pa.array([codec.compress(b) for _, b in got], pa.binary())],
+                names=["shard", "doc_id", "sub", "n_tokens", "frame"],
             )
 
     def write(batches: Iterator) -> Iterator:
@@ -119,7 +124,7 @@ def write_token_archive(df: DataFrame, folder: str, tokenizer: str, end_id: int
 
         out, index, shard, attempt = None, [], None, attempt_name()
         for batch in batches:
-            for s, i, n, frame in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            for s, i, n, frame in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4)), strict=True):
                 if s != shard:
                     if out:
                         yield manifest_batch([ended(out, index, shard)])
@@ -132,9 +137,13 @@ def write_token_archive(df: DataFrame, folder: str, tokenizer: str, end_id: int
         if out:
             yield manifest_batch([ended(out, index, shard)])
 
-    frames = rows.select(shard_of("doc_id", bounds).cast("int").alias("shard"), "doc_id", "text").mapInArrow(compress, "shard int, doc_id long, n_tokens long, frame binary")
-    dealt = frames.repartition(len(bounds), "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "n_tokens", "frame")
-    return publish(dealt, write, folder)
+    sub = F.pmod(F.xxhash64("text"), F.lit(1 << 31)).cast("int")
+    placed = rows.select(shards.of(F.col("doc_id"), sub).alias("shard"), "doc_id", sub.alias("sub"), "text")
+    frames = placed.mapInArrow(lean(compress), "shard int, doc_id long, sub int, n_tokens long, frame binary")
+    dealt = shards.dealt(frames).sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "sub", "n_tokens", "frame")
+    done = publish(dealt, lean(write), folder)
+    removed(folder_)
+    return done
 
 
 def _opened(uri: str):

@@ -1,8 +1,9 @@
 """Deterministic sharded WARC writer and reader.
 
-Records are range-sorted by page id into shards whose bounds depend on the data alone, each shard rolls
-to a new file once its compressed size passes the limit, headers and digests are made anew from the
-payload, and files appear under their names only through a committed manifest (``archive``).  Of the
+Records are range-sorted by page id into shards of about ``shard_bytes`` of payload whose bounds depend on
+the data alone, a task for each; each shard rolls to a new file once its compressed size passes the limit,
+headers and digests are made anew from the payload, and files appear under their names only through a
+committed manifest (``archive``).  A page id (or null) that holds more than a shard is cut by digest.  Of the
 records with equal payloads of at least ``least`` bytes the one with the smallest id holds the payload;
 the others are revisit records that name it.  Running the writer again gives the same bytes.
 
@@ -12,8 +13,9 @@ role row is sorted in front of its page.  Payloads are shuffled once, to their s
 
 Defined cases: a null payload counts as empty; a null page id comes first and is never referred to
 while a page with an id has the payload; a page id that occurs twice with one payload is a response
-once, then a revisit of itself (at ``least`` bytes or more); a null url becomes a URN of the page id; an
-empty table gives an archive of no files; other columns are left out, so their names can't clash.
+once, then a revisit of itself (at ``least`` bytes or more), and all its rows with that payload lie in one
+shard; a null url becomes a URN of the page id; an empty table gives an archive of no files; other columns
+are left out, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .archive import Output, attempt_name, each_file, manifest, manifest_batch, publish
-from .storage import filesystem, new_folder, range_bounds, shard_of, text_batches, written
+from .storage import Shards, filesystem, lean, new_folder, removed, text_batches, written
 
 #: Fixed values of the WARC format.
 VERSION, REVISIT = "WARC/1.1", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -48,41 +50,45 @@ def _block(headers: list[tuple[str, str]], body: bytes) -> bytes:
     return f"{VERSION}\r\n{head}\r\n".encode() + body + b"\r\n\r\n"
 
 
-def _urn(page_id: int | None, copy: int = 0) -> str:
-    return f"urn:x-page:{'' if page_id is None else page_id}" + (f":{copy}" if copy else "")
+def _urn(page_id: int | None, digest: str, copy: int = 0) -> str:
+    return f"urn:x-page:{'' if page_id is None else page_id}:{digest[:16]}" + (f":{copy}" if copy else "")
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool, copy: int, date: str) -> bytes:
     """One record as bytes: a response with its payload, or a revisit with the HTTP header alone."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     body = http if revisit else http + payload
-    target = " ".join((url or _urn(page_id)).split())
-    headers = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", f"<{_urn(page_id, copy)}>"), ("WARC-Date", date), ("WARC-Target-URI", target)]
+    target = " ".join((url or f"urn:x-page:{'' if page_id is None else page_id}").split())
+    headers = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", f"<{_urn(page_id, digest, copy)}>"), ("WARC-Date", date), ("WARC-Target-URI", target)]
     if revisit:
-        headers += [("WARC-Profile", REVISIT), ("WARC-Refers-To", f"<{_urn(refers_to)}>")]
+        headers += [("WARC-Profile", REVISIT), ("WARC-Refers-To", f"<{_urn(refers_to, digest)}>")]
     headers += [("Content-Type", HTTP_TYPE), ("WARC-Block-Digest", "sha256:" + hashlib.sha256(body).hexdigest()), ("WARC-Payload-Digest", f"sha256:{digest}")]
     return _block(headers, body)
 
 
-def write_warc(df: DataFrame, folder: str, shard_rows: int = 16_384, max_file_bytes: int = 256 << 20, least: int = 100, date: str = "2000-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
+def write_warc(df: DataFrame, folder: str, shard_bytes: int = 64 << 20, max_file_bytes: int = 256 << 20, least: int = 100, date: str = "2000-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
     """Writes the archive and returns its manifest."""
     spark = df.sparkSession
     pages = df.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
-    narrow = pages.select("page_id", F.sha2(F.encode("payload", "UTF-8"), 256).alias("digest"), F.octet_length("payload").alias("n")).where(F.col("n") >= least)
-    firsts = narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").select("digest", "first")
-    firsts = written(firsts, f"{new_folder(spark, 'warc-digests')}")
-    salted = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    roles = narrow.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")).join(salted, ["digest", "salt"]).where("page_id is null or page_id > first").select("page_id", "digest", "first").distinct()
-
-    bounds = range_bounds(pages.select("page_id"), "page_id", F.lit(1), shard_rows)
-    shard = shard_of("page_id", bounds).cast("int").alias("shard")
-    role_rows = roles.select(shard, "page_id", F.lit(0).alias("kind"), "digest", "first", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("payload"))
-    page_rows = pages.select(shard, "page_id", F.lit(1).alias("kind"), F.sha2(F.encode("payload", "UTF-8"), 256).alias("digest"), F.lit(None).cast("long").alias("first"), "url", "payload")
-    dealt = role_rows.unionByName(page_rows).repartition(len(bounds), "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "digest", "kind", F.col("url").asc_nulls_first())
+    folder_ = new_folder(spark, "warc")
+    narrow = written(pages.select("page_id", F.sha2(F.encode("payload", "UTF-8"), 256).alias("digest"), F.octet_length("payload").cast("long").alias("n")), f"{folder_}/narrow")
+    shards = Shards(narrow.select("page_id", (F.col("n") + 512).alias("weight")), "page_id", "weight", shard_bytes)
+    large = narrow.where(F.col("n") >= least).select("page_id", "digest")
+    firsts = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").select("digest", "first")
+    salted = written(firsts, f"{folder_}/digests").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    roles = large.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")).join(salted, ["digest", "salt"]).where("page_id is null or page_id > first").select("page_id", "digest", "first").distinct()
+
+    sub = F.pmod(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long"), F.lit(1 << 31)).cast("int")
+    shard = shards.of(F.col("page_id"), sub).alias("shard")
+    none = F.lit(None).cast("string")
+    role_rows = roles.select(shard, "page_id", F.lit(0).alias("kind"), "digest", "first", none.alias("url"), none.alias("payload"))
+    hashed = pages.withColumn("digest", F.sha2(F.encode("payload", "UTF-8"), 256))
+    page_rows = hashed.select(shard, "page_id", F.lit(1).alias("kind"), "digest", F.lit(None).cast("long").alias("first"), "url", "payload")
+    dealt = shards.dealt(role_rows.unionByName(page_rows)).sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "digest", "kind", F.col("url").asc_nulls_first())
 
     def write(batches: Iterator) -> Iterator:
         out, shard, part, attempt = None, None, 0, attempt_name()
-        role, last, copy, seen_id, seen = None, None, 0, object(), set()
+        role, before, copy = None, None, 0
         for batch in text_batches(batches, 128):
             for r in batch.to_pylist():
                 if r["kind"] == 0:
@@ -97,18 +103,18 @@ def write_warc(df: DataFrame, folder: str, shard_rows: int = 16_384, max_file_by
                     info = f"software: sedge\r\nformat: {VERSION}\r\n".encode()
                     out.write(_member(_block([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:x-file:{out.file}>"), ("WARC-Date", date), ("WARC-Filename", out.file), ("Content-Type", "application/warc-fields")], info)))
                 page, digest, payload = r["page_id"], r["digest"], r["payload"].encode()
-                copy = copy + 1 if page == seen_id else 0
-                seen = seen if page == seen_id else set()
-                seen_id = page
-                first = role[2] if role and role[:2] == (page, digest) else page if page is not None and len(payload) >= least and digest in seen else None
-                seen.add(digest)
+                copy = copy + 1 if before == (page, digest) else 0  # rows of one page and payload follow one another
+                before = (page, digest)
+                first = role[2] if role and role[:2] == before else page if page is not None and len(payload) >= least and copy else None
                 out.write(_member(record(page, r["url"], payload, digest, first, first is not None, copy, date)))
                 out.n_records += 1
                 out.n_units += len(payload)
         if out is not None:
             yield manifest_batch([out.close(shard, part)])
 
-    return publish(dealt, write, folder)
+    done = publish(dealt, lean(write), folder)
+    removed(folder_)
+    return done
 
 
 def _records(file) -> Iterator[tuple[dict, bytes]]:

@@ -68,7 +68,8 @@ def test_token_archive(spark, docs, empty):
     from sedge.llm.token_archive import lookup, read_token_archive, token_digests, write_token_archive
 
     folder = new_folder(spark, "t")
-    manifest = write_token_archive(docs, folder, P.path("word_bpe_49k.json"), shard_rows=4)
+    manifest = write_token_archive(docs, folder, P.path("word_bpe_49k.json"), shard_bytes=150)
+    assert manifest.count() > 3
     got = token_digests(spark, folder).orderBy("start").collect()
     assert len(got) == docs.count() and got[0].doc_id is None
     at = 0
@@ -93,7 +94,7 @@ def test_warc(spark):
     rows = [(5, "http://a", big), (2, None, big), (9, "http://b\nx", big), (7, "u", "tiny"), (8, "u", "tiny"), (1, "u", None), (2, None, big), (None, "u", big), (3, "u", "x" * 300_000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     folders = [new_folder(spark, "w"), new_folder(spark, "w")]
-    manifests = [write_warc(d, f, shard_rows=3, max_file_bytes=200).orderBy("file").collect() for d, f in zip((df, df.repartition(5)), folders, strict=True)]
+    manifests = [write_warc(d, f, shard_bytes=2000, max_file_bytes=200).orderBy("file").collect() for d, f in zip((df, df.repartition(5)), folders, strict=True)]
     assert [(r.file, r.sha256) for r in manifests[0]] == [(r.file, r.sha256) for r in manifests[1]] and len(manifests[0]) > 3
     got = read_warc(spark, folders[0]).collect()
     assert len(got) == len(rows)
@@ -107,6 +108,29 @@ def test_warc(spark):
     assert read_warc(spark, folder).count() == 0
 
 
+def test_shards_weigh_about_the_target_whatever_the_keys(spark):
+    """Dense and scattered keys, a key and nulls with a third of all rows each, and 5,000 shards."""
+    from sedge.llm.storage import Shards
+
+    sub = F.pmod(F.xxhash64("n"), F.lit(1 << 31)).cast("int")
+    base = spark.range(60_000).select(F.col("id").alias("n"))
+    keys = {"dense": F.col("n"), "scattered": F.xxhash64("n"), "hot": F.when(F.col("n") % 3 == 0, 7).when(F.col("n") % 3 == 1, F.lit(None)).otherwise(F.col("n")).cast("long")}
+    for name, key in keys.items():
+        rows = base.select("n", key.alias("k"), F.lit(10).alias("w"))
+        shards = Shards(rows, "k", "w", 6000)
+        placed = rows.select("k", shards.of(F.col("k"), sub).alias("shard"))
+        sizes = [r["count"] for r in placed.groupBy("shard").count().collect()]
+        assert 90 <= len(shards) <= 220 and max(sizes) <= 1300 and len(sizes) <= len(shards), name
+        by_key = placed.groupBy("shard").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo is not null").orderBy("shard").collect()
+        assert all(a.hi <= b.lo for a, b in zip(by_key, by_key[1:], strict=False))
+    rows = spark.range(1_000_000).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+    shards = Shards(rows, "k", "w", 200)
+    assert 4000 <= len(shards) <= 8000
+    dealt = shards.dealt(rows.select("k", shards.of(F.col("k"), F.lit(0)).alias("shard")))
+    assert dealt.groupBy(F.spark_partition_id()).agg(F.count_distinct("shard").alias("n"), F.count("*").alias("rows")).where("n > 1 or rows > 400").count() == 0
+    assert len(Shards(rows.where("false"), "k", "w", 200)) == 1
+
+
 def test_decontamination(spark, docs, empty):
     from sedge.llm.decontamination import WINDOW, contamination, decontaminate, windows_of, words_of
 
