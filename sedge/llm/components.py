@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import removed, written
 
 
 def components(edges: DataFrame, folder: str, most_rounds: int = 60) -> DataFrame:
@@ -26,6 +26,7 @@ def components(edges: DataFrame, folder: str, most_rounds: int = 60) -> DataFram
         least = written(large.groupBy("a").agg(F.min("b").alias("m")), f"{folder}/{k}-small")
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         now = written(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), f"{folder}/{k}")
+        removed(*(f"{folder}/{x}" for x in (k - 1, f"{k}-large", f"{k}-linked", f"{k}-small")))
         # a star forest is reached when no node is both a leaf and a centre, and no leaf has two centres
         state = now.agg(F.count("*"), F.countDistinct("a"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if state == before:

@@ -6,7 +6,9 @@ of at least ``num / den`` of the union.  The join loses no link and caps nothing
 1. Documents with equal sets are one class, whose smallest id stands for it.
 2. A document can only link if its prefix (its smallest hashes, a third or so) shares enough hashes
    with those of others.  Prefix hashes meet in hash buckets as packed arrays; a task sends each hash
-   once however many of its documents have it, so a frequent hash costs a bucket one entry a task.
+   once however many of its documents have it, so a frequent hash costs a bucket one entry a task.  The
+   number of buckets follows the number of hashes, a task works on one bucket at a time, and what it
+   finds goes on packed as well, a row for each part of the documents.
 3. Candidates that share a key are put in one block: components of stars that the buckets return.  A key
    is a run of ``RUN`` neighbours in a sorted set, with a range of set sizes: one set's elements that the
    other lacks break few runs, so linked sets share some, while texts with a passage in common hardly do.
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import new_folder, text_batches, written
+from .storage import MOST_PARTITIONS, lean, new_folder, removed, text_batches, written
 
 LEAF = 4
 RUN = 3
@@ -197,13 +199,12 @@ def _deal(prefixes: Iterator[tuple[int, np.ndarray]], buckets: int, credit: bool
         first = int(d.min())
         kind = "<u4" if int(d.max()) - first < 1 << 32 else "<i8"
         by = np.argsort(at, kind="stable")
-        edges = np.searchsorted(at[by], np.arange(buckets + 1))
+        filled, edges = np.unique(at[by], return_index=True)
+        edges = np.append(edges, len(by))
         rows = []
-        for k in range(buckets):
-            part = by[edges[k] : edges[k + 1]]
-            share = pairs[k::buckets]
-            if len(part) or len(share):
-                rows.append((k, first, short[part].tobytes(), (d[part] - first).astype(kind).tobytes(), np.packbits(known[part]).tobytes(), share.tobytes()))
+        for i, k in enumerate(filled.tolist()):
+            part = by[edges[i] : edges[i + 1]]
+            rows.append((k, first, short[part].tobytes(), (d[part] - first).astype(kind).tobytes(), np.packbits(known[part]).tobytes(), pairs[i :: len(filled)].tobytes()))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), pa.int64()] + [pa.binary()] * 4, strict=True)], names=[f.split(" ")[0] for f in DEALT.split(", ")])
 
     for doc, found in prefixes:
@@ -217,38 +218,88 @@ def _deal(prefixes: Iterator[tuple[int, np.ndarray]], buckets: int, credit: bool
         yield packed()
 
 
-def _meet(dealt: DataFrame, credit: bool) -> DataFrame:
-    """Buckets to credits (doc, shared hashes) or links (doc, smallest doc); a task has whole buckets.
+def _grouped(batches: Iterator) -> Iterator:
+    """(group, rows) of rows that follow one another with the same first column."""
+    now, held = None, []
+    for batch in text_batches(batches, 256):
+        names = batch.schema.names
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[0] != now and held:
+                yield now, held
+                held = []
+            now = row[0]
+            held.append(dict(zip(names, row, strict=True)))
+    if held:
+        yield now, held
+
+
+def _dealt(rows: DataFrame, by: str, parts: int) -> DataFrame:
+    """A partition for each value of ``by`` below ``parts``, or for neighbouring ones; sorted by it."""
+    n = min(parts, MOST_PARTITIONS)
+    return rows.repartitionById(n, F.floor(F.col(by).cast("long") * n / parts).cast("int")).sortWithinPartitions(by)
+
+
+PACKED = "part int, a binary, b binary"
+
+
+def _summed(told: np.ndarray, credit: bool) -> np.ndarray:
+    """Credits added up by document, or distinct links."""
+    if not credit:
+        return _pairs(told[:, 0], told[:, 1], False)
+    docs, at = np.unique(told[:, 0], return_inverse=True)
+    return np.stack([docs, np.bincount(at, told[:, 1], len(docs)).astype(np.int64)], 1)
+
+
+def _meet(dealt: DataFrame, credit: bool, buckets: int) -> DataFrame:
+    """Buckets to credits (a: doc, b: shared hashes) or links (a: doc, b: smallest doc), each a once or each pair once.
 
     Within a bucket 32 bits stand for a hash: two that fall together only add to what is looked at later.
     """
+    parts = -(-buckets // 4)
 
-    def run(batches: Iterator) -> Iterator:
+    def packed(told: np.ndarray) -> Iterator:
         import pyarrow as pa
 
-        hashes, docs, known, told = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, bool)], [np.empty((0, 2), np.int64)]
-        for batch in text_batches(batches, 256):
-            for r in batch.to_pylist():
-                h = np.frombuffer(r["hashes"], "<u4").astype(np.uint64)
-                kind = "<u4" if len(r["docs"]) == 4 * len(h) else "<i8"
-                hashes.append(h | np.uint64(r["bucket"]) << np.uint64(32))
-                docs.append(np.frombuffer(r["docs"], kind).astype(np.int64) + r["first"])
-                known.append(np.unpackbits(np.frombuffer(r["known"], np.uint8), count=len(h)).astype(bool))
-                told.append(np.frombuffer(r["pairs"], np.int64).reshape(-1, 2))
-        hashes, docs, known = np.concatenate(hashes), np.concatenate(docs), np.concatenate(known)
-        if len(hashes):
-            order, _, start, counts, group = _ordered(hashes, docs)
-            d, known = docs[order], known[order]
+        part = (mixed(told[:, 0].view(np.uint64)) >> np.uint64(20)) % np.uint64(parts)
+        by = np.argsort(part, kind="stable")
+        filled, edges = np.unique(part[by], return_index=True)
+        edges = np.append(edges, len(by))
+        rows = [(int(k), told[by[edges[i] : edges[i + 1]], 0].tobytes(), told[by[edges[i] : edges[i + 1]], 1].tobytes()) for i, k in enumerate(filled)]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), pa.binary(), pa.binary()], strict=True)], names=["part", "a", "b"])
+
+    def run(batches: Iterator, most: int = 500_000) -> Iterator:
+        told, size = [], 0
+        for _, rows in _grouped(batches):
+            hashes = [np.frombuffer(r["hashes"], "<u4") for r in rows]
+            docs = [np.frombuffer(r["docs"], "<u4" if len(r["docs"]) == 4 * len(h) else "<i8").astype(np.int64) + r["first"] for r, h in zip(rows, hashes, strict=True)]
+            known = np.concatenate([np.unpackbits(np.frombuffer(r["known"], np.uint8), count=len(h)).astype(bool) for r, h in zip(rows, hashes, strict=True)])
+            own = np.concatenate([np.frombuffer(r["pairs"], np.int64).reshape(-1, 2) for r in rows])
+            order, _, start, counts, group = _ordered(np.concatenate(hashes), np.concatenate(docs))
+            d, known = np.concatenate(docs)[order], known[order]
             if credit:
-                shared = (counts > 1) | np.logical_or.reduceat(known, start)
-                take = shared[group] & ~known
+                take = ((counts > 1) | np.logical_or.reduceat(known, start))[group] & ~known
             else:
                 take = counts[group] > 1
-            told.append(_pairs(d[take], d[start][group][take], credit))
-        told = np.concatenate(told)
-        yield pa.RecordBatch.from_arrays([pa.array(told[:, 0]), pa.array(told[:, 1])], names=["a", "b"])
+            told += [own, _pairs(d[take], d[start][group][take], credit)]
+            size += len(told[-1]) + len(own)
+            if size >= most:
+                yield from packed(_summed(np.concatenate(told), credit))
+                told, size = [], 0
+        if told:
+            yield from packed(_summed(np.concatenate(told), credit))
+
+    def gather(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for _, rows in _grouped(batches):
+            told = np.stack([np.concatenate([np.frombuffer(r[c], np.int64) for r in rows]) for c in "ab"], 1)
+            told = _summed(told, credit)
+            for at in range(0, len(told), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(told[at : at + 100_000, 0]), pa.array(told[at : at + 100_000, 1])], names=["a", "b"])
 
-    return dealt.repartition("bucket").mapInArrow(run, "a long, b long")
+    found = _dealt(dealt, "bucket", buckets).mapInArrow(lean(run), PACKED)
+    return _dealt(found, "part", parts).mapInArrow(lean(gather), "a long, b long")
 
 
 # --- blocks ---------------------------------------------------------------------------------------
@@ -429,13 +480,13 @@ def _joined(bounds: Bounds):
 def _traversed(rows: DataFrame, bounds: Bounds) -> DataFrame:
     """Links found in blocks; rows has (block, doc, hashes, label)."""
     dealt = rows.select("block", "doc", "hashes", "label").repartition("block").sortWithinPartitions("block", "doc")
-    return dealt.mapInArrow(_joined(bounds), "a long, b long")
+    return dealt.mapInArrow(lean(_joined(bounds)), "a long, b long")
 
 
 # --- the join -------------------------------------------------------------------------------------
 
 
-def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int = 100, most: int = 2_000_000, most_docs: int = 10_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int = 100, most: int = 2_000_000, most_docs: int = 10_000, most_hashes: int = 500_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; component_id is the smallest id it is linked to."""
     spark, bounds = df.sparkSession, Bounds(num, den)
     folder = new_folder(spark, "jaccard")
@@ -452,10 +503,15 @@ def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int =
                 k2 = np.array([mixed(s ^ STEP).sum(dtype=np.uint64) for s in found], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))], names=["doc_id", "n", "k1", "k2"])
 
-    keyed = written(rows.mapInArrow(keys, "doc_id long, n long, k1 long, k2 long"), f"{folder}/keys")
+    keyed = written(rows.mapInArrow(lean(keys), "doc_id long, n long, k1 long, k2 long"), f"{folder}/keys")
     classes = written(keyed.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep")).where("rep is not null"), f"{folder}/classes")
 
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = F.col("n")
+    floor = lambda x: F.floor(x).cast("long")
+    least = floor((n * num + den - 1) / den)
+    shared = lambda x: F.greatest(F.lit(1), floor(x * SHARED / 100))
+    hashes = keyed.agg(F.sum(F.least(n, n - least + shared(n)))).first()[0] or 0
+    buckets = max(1, -(-hashes // most_hashes))
 
     def wide(batches: Iterator) -> Iterator:
         shingles = Shingles(width)
@@ -469,14 +525,11 @@ def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int =
 
         yield from _deal(prefixes(), buckets, True)
 
-    credits = _meet(rows.mapInArrow(wide, DEALT), True).groupBy("a").agg(F.sum("b").alias("shared"))
-    n, floor = F.col("n"), lambda x: F.floor(x).cast("long")
-    least = floor((n * num + den - 1) / den)
-    shared = lambda x: F.greatest(F.lit(1), floor(x * SHARED / 100))
+    credits = _meet(rows.mapInArrow(lean(wide), DEALT), True, buckets).withColumnRenamed("b", "shared")
     needed = F.least(shared(least), F.least(n, n - least + shared(n)))
     candidates = written(classes.join(credits, F.col("rep") == F.col("a")).where(F.col("shared") >= needed).select("rep", "n"), f"{folder}/candidates")
 
-    bits = _bitmap(candidates.select("rep"))
+    bits, places = _bitmap(candidates.select("rep"))
 
     def sets(batches: Iterator) -> Iterator:
         import zlib
@@ -486,14 +539,14 @@ def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int =
         shingles, bitmap = Shingles(width), np.frombuffer(zlib.decompress(bits), np.uint8)
         for batch in text_batches(batches):
             ids = np.array(batch.column(0).to_pylist(), np.int64)
-            h = _place(ids)
+            h = _place(ids, places)
             maybe = np.flatnonzero(bitmap[h >> 3] >> (h & 7).astype(np.uint8) & 1)
             if len(maybe):
                 part = batch.take(pa.array(maybe))
                 found = [shingles(t) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["doc", "n", "hashes"])
 
-    members = rows.where("doc_id is not null").mapInArrow(sets, "doc long, n long, hashes binary")
+    members = rows.where("doc_id is not null").mapInArrow(lean(sets), "doc long, n long, hashes binary")
 
     def narrow(batches: Iterator) -> Iterator:
         def prefixes():
@@ -503,40 +556,42 @@ def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int =
 
         yield from _deal(prefixes(), buckets, False)
 
-    stars = _meet(members.select("doc", "hashes").mapInArrow(narrow, DEALT), False)
+    stars = _meet(members.select("doc", "hashes").mapInArrow(lean(narrow), DEALT), False, buckets)
     blocks = written(components(stars, f"{folder}/blocks"), f"{folder}/labels")
     links = components(_blocks(members, candidates, blocks, bounds, most, most_docs, folder), f"{folder}/links")
     links = written(links, f"{folder}/components")
 
     reps = classes.join(links.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component_id"))
     reps = written(reps, f"{folder}/result")
+    removed(*(f"{folder}/{x}" for x in ("classes", "candidates", "blocks", "labels", "sizes", "places", "large", "first", "connected", "connected-labels", "open", "ranged", "ranges", "links", "components")))
     return keyed.join(reps, ["k1", "k2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-PLACES = 1 << 24
-
+def _place(ids: np.ndarray, places: int) -> np.ndarray:
+    return (mixed(ids.view(np.uint64)) % np.uint64(places)).astype(np.int64)
 
-def _place(ids: np.ndarray) -> np.ndarray:
-    return (mixed(ids.view(np.uint64)) % np.uint64(PLACES)).astype(np.int64)
 
-
-def _bitmap(ids: DataFrame) -> bytes:
-    """A compressed bitmap of fixed size (2 MB) with a bit for every id; what it lets through is joined."""
+def _bitmap(ids: DataFrame, least: int = 1 << 20, most: int = 1 << 28) -> tuple[bytes, int]:
+    """A compressed bitmap with a bit for every id, and its number of places: 16 to 32 for each id within
+    ``least`` and ``most`` (32 MB; from some 100 million ids on it lets ever more through).  What it lets
+    through is joined, so it only saves work."""
     import zlib
 
+    places = min(most, max(least, 1 << (16 * ids.count()).bit_length()))
+
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        bits = np.zeros(PLACES // 8, np.uint8)
+        bits = np.zeros(places // 8, np.uint8)
         for batch in batches:
-            h = _place(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
+            h = _place(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), places)
             np.bitwise_or.at(bits, h >> 3, np.uint8(1) << (h & 7).astype(np.uint8))
         yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(bits.tobytes(), 1)], pa.binary())], names=["bits"])
 
-    bits = np.zeros(PLACES // 8, np.uint8)
-    for r in ids.coalesce(4).mapInArrow(run, "bits binary").collect():
+    bits = np.zeros(places // 8, np.uint8)
+    for r in ids.coalesce(4).mapInArrow(lean(run), "bits binary").collect():
         bits |= np.frombuffer(zlib.decompress(r.bits), np.uint8)
-    return zlib.compress(bits.tobytes(), 1)
+    return zlib.compress(bits.tobytes(), 1), places
 
 
 def _blocks(members: DataFrame, sizes: DataFrame, blocks: DataFrame, bounds: Bounds, most: int, most_docs: int, folder: str) -> DataFrame:
