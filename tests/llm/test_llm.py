@@ -237,6 +237,31 @@ def test_pii_adds_spans_that_the_base_patterns_miss(spark):
     assert [[s.base for s in x.spans] for x in find(docs, model).orderBy("doc_id").collect()] == [[False], [False], [], [], [False], [False, False], [True]]
 
 
+def test_pii_very_many_matches_and_clashing_columns(spark):
+    import time
+
+    from sedge.llm.pii import KINDS, Models, digest_columns, find, fit_pii, redact
+
+    many = [" ".join(f"a{i}@b{i % 9}.com" for i in range(20_000)), " ".join(f"+1 (2{i % 90:02d}) 555-{i % 10_000:04d}," for i in range(20_000))]
+    df = spark.createDataFrame([(i, t, 5, "x", None) for i, t in enumerate(many)], "doc_id long, text string, __spans int, __text string, `a.b` string").repartition(2)
+    model = Models([])
+    digest_columns(find(df, model)).collect()  # compiles
+    began = time.time()
+    found = {r.doc_id: (r.n_email, r.n_phone, r.base_sha256) for r in digest_columns(find(df, model)).collect()}
+    assert time.time() - began < 15
+    assert found == {i: (20_000 * (i == 0), 20_000 * (i == 1), hashlib.sha256(",".join(_base(t)).encode()).hexdigest()) for i, t in enumerate(many)}
+    clean = redact(df, model)
+    assert clean.schema == df.schema
+    rows = {r.doc_id: r for r in clean.collect()}
+    assert rows[0].text == " ".join(["[EMAIL]"] * 20_000) and rows[1].text == " ".join(["[PHONE],"] * 20_000) and rows[0]["__spans"] == 5 and rows[0]["__text"] == "x"
+    # overlapping spans of two kinds are replaced together
+    both = spark.createDataFrame([(1, "x 1.2.3.4532015112830366 y +1.2.3.4567890 z")], "doc_id long, text string")
+    assert KINDS[3] in {KINDS[s.kind] for s in find(both, model).first().spans} and redact(both, model).first().text.startswith("x ")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    learnt = fit_pii(docs)
+    assert learnt.trees and find(docs, learnt).select(F.explode("spans").alias("s")).where("not s.base").count() > 0
+
+
 def _components(rows):
     sets = {}
     for d, t in rows:
