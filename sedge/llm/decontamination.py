@@ -8,7 +8,9 @@ is the Burrows-Wheeler transform of that text in a wavelet matrix; all windows a
 once, occurrences are located by steps to sampled suffix positions, and their word spans are merged.
 
 The test items lie in the shared folder in files of a thousand; every task reads them file by file, so
-neither the driver nor a task holds them all, and the documents are read once and never shuffled.
+neither the driver nor a task holds them all (a few files' windows are kept from one shard to the next), and
+the documents are read once and never shuffled.  Where a removal joins the words on both sides of it, the
+words around the seams are indexed and searched in the same way, until nothing is found.
 
 Defined cases: a null text has no words; items without words or without an id are left out; an item
 id that occurs twice counts once; null doc ids are passed through; repeated rows give repeated results;
@@ -27,9 +29,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import filesystem, new_folder, text_batches
+from .storage import filesystem, lean, new_folder, text_batches
 
-WINDOW, BITS = 10, 1 << 23
+WINDOW, BITS, KEPT = 10, 1 << 23, 2
 SEPARATED = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Lower-cases A-Z and makes every other ASCII byte but 0-9 and a-z a blank.
 TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -217,6 +219,7 @@ class TestItems:
     def __init__(self, items: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WINDOW):
         spark = items.sparkSession
         self.folder, self.width = new_folder(spark, "test-items"), width
+        self.files, self.kept = None, []
         kept = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).where("item_id is not null and text is not null")
         kept.write.option("maxRecordsPerFile", 1000).parquet(self.folder)
 
@@ -244,18 +247,26 @@ class TestItems:
         return _Flags(np.frombuffer(zlib.decompress(self.bits), np.uint8))
 
     def blocks(self) -> Iterator[dict[int, dict[tuple, list]]]:
-        """Of each file: by width, window to the ids of the items that have it."""
+        """Of each file: by width, window to the ids of the items that have it.
+
+        A task keeps what it has read of the first ``KEPT`` files.
+        """
         import pyarrow.parquet as pq
         from pyarrow import fs as pafs
 
         fs, top = filesystem(self.folder)
-        for info in sorted(fs.get_file_info(pafs.FileSelector(top)), key=lambda x: x.path):
-            if not info.base_name.startswith("part-"):
+        if self.files is None:
+            self.files = sorted(x.path for x in fs.get_file_info(pafs.FileSelector(top)) if x.base_name.startswith("part-"))
+        for k, path in enumerate(self.files):
+            if k < len(self.kept):
+                yield self.kept[k]
                 continue
-            table, windows = pq.read_table(info.path, filesystem=fs), defaultdict(lambda: defaultdict(list))
+            table, windows = pq.read_table(path, filesystem=fs), defaultdict(lambda: defaultdict(list))
             for item, text in zip(table["item_id"].to_pylist(), table["text"].to_pylist(), strict=True):
                 for w in windows_of(words_of(text), self.width):
                     windows[len(w)][w].append(item)
+            if k == len(self.kept) < KEPT:
+                self.kept.append(windows)
             yield windows
 
 
@@ -311,7 +322,7 @@ def contamination(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
                     names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "items"],
                 )
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, HITS)
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lean(run), HITS)
 
 
 def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
@@ -325,31 +336,51 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, raw[at:]]).decode()
 
 
-def _hits(words: list[bytes], blocks) -> list[tuple[int, int]]:
-    return merged([(i, i + n) for windows in blocks for n, of in windows.items() for i in range(len(words) - n + 1) if tuple(words[i : i + n]) in of])
+def _seams(words: list[bytes], spans: list[tuple[int, int]], width: int) -> list[bytes]:
+    """The words that are left, those too far from every removed span to be in a new window blanked."""
+    near, gone = set(), 0
+    for a, b in spans:
+        near.update(range(a - gone - width + 1, a - gone + width - 1))
+        gone += b - a
+    return [w if i in near else b" " for i, w in enumerate(words)]
+
+
+def _cut(texts: dict[int, str], spans: dict[int, list[tuple[int, int]]], items: TestItems, flags: _Flags) -> dict[int, str]:
+    """Texts without their spans, and without what the removals have joined to occurrences."""
+    while spans:
+        order, shard = sorted(spans), Shard(flags, items.least)
+        for i in order:
+            texts[i] = without_spans(texts[i], spans[i])
+            shard.add(_seams(words_of(texts[i]), spans[i], items.width))
+        found = defaultdict(list)
+        for doc, at, width, _ in shard.occurrences(items.blocks()):
+            found[order[doc]].append((at, at + width))
+        spans = {i: merged(s) for i, s in found.items()}
+    return texts
 
 
 def decontaminate(df: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", most_symbols: int = 1_000_000, most_bytes: int = 48 << 20) -> DataFrame:
     """All rows and columns, with every occurrence cut out of the text.
 
-    Cutting joins the words on both sides; where that makes a new occurrence it is cut too.
+    Cutting joins the words on both sides; where that makes a new occurrence it is cut too.  Null and empty
+    texts, and those without an occurrence, stay as they are; so do repeated rows and all other columns.
     """
     tests, column = TestItems(items, item_id_col, item_text_col), df.columns.index(text_col)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        flags = tests.flags()
         for held, results in _searched(batches, column, tests, most_symbols, most_bytes):
             at = 0
             for batch in held:
+                hit = {i: spans for i, (_, spans, _) in enumerate(results[at : at + batch.num_rows]) if spans}
                 texts = batch.column(column).to_pylist()
-                for i, (_, spans, _) in enumerate(results[at : at + batch.num_rows]):
-                    while spans:
-                        texts[i] = without_spans(texts[i], spans)
-                        spans = _hits(words_of(texts[i]), tests.blocks())
+                for i, text in _cut({i: texts[i] for i in hit}, hit, tests, flags).items():
+                    texts[i] = text
                 at += batch.num_rows
                 columns = list(batch.columns)
                 columns[column] = pa.array(texts, pa.string())
                 yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([f.with_type(pa.string()) if k == column else f for k, f in enumerate(batch.schema)]))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(lean(run), df.schema)

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import filesystem, new_folder, text_batches
+from .storage import filesystem, lean, new_folder, text_batches
 
 FOUND = "query_id long, vec_id long, score long"
 
@@ -124,6 +124,6 @@ def top_k(df: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, unit:
         if ids:
             yield from answered(ids, vectors)
 
-    found = rows.select(F.col(id_col).cast("long").alias("vec_id"), x.cast("array<double>").alias("embedding")).mapInArrow(search, FOUND)
+    found = rows.select(F.col(id_col).cast("long").alias("vec_id"), x.cast("array<double>").alias("embedding")).mapInArrow(lean(search), FOUND)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -32,7 +32,7 @@ from collections.abc import Iterator
 from functools import cached_property
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -486,11 +486,15 @@ def _traversed(rows: DataFrame, bounds: Bounds) -> DataFrame:
 # --- the join -------------------------------------------------------------------------------------
 
 
-def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int = 100, most: int = 2_000_000, most_docs: int = 10_000, most_hashes: int = 500_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row; component_id is the smallest id it is linked to."""
+def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int = 100, most: int = 2_000_000, most_docs: int = 10_000, most_hashes: int = 500_000, id_col: str = "doc_id", text_col: str = "text", carried_col: str | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row; component_id is the smallest id it is linked to.
+
+    ``carried_col``, a long column, comes along as ``carried``.
+    """
     spark, bounds = df.sparkSession, Bounds(num, den)
     folder = new_folder(spark, "jaccard")
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    carried = F.lit(None) if carried_col is None else F.col(carried_col)
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), carried.cast("long").alias("carried"))
 
     def keys(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -501,9 +505,9 @@ def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int =
             with np.errstate(over="ignore"):
                 k1 = np.array([s.sum(dtype=np.uint64) for s in found], np.uint64)
                 k2 = np.array([mixed(s ^ STEP).sum(dtype=np.uint64) for s in found], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))], names=["doc_id", "n", "k1", "k2"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), batch.column(2)], names=["doc_id", "n", "k1", "k2", "carried"])
 
-    keyed = written(rows.mapInArrow(lean(keys), "doc_id long, n long, k1 long, k2 long"), f"{folder}/keys")
+    keyed = written(rows.mapInArrow(lean(keys), "doc_id long, n long, k1 long, k2 long, carried long"), f"{folder}/keys")
     classes = written(keyed.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep")).where("rep is not null"), f"{folder}/classes")
 
     n = F.col("n")
@@ -513,6 +517,8 @@ def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int =
     hashes = keyed.agg(F.sum(F.least(n, n - least + shared(n)))).first()[0] or 0
     buckets = max(1, -(-hashes // most_hashes))
 
+    rows = rows.select("doc_id", "text")
+
     def wide(batches: Iterator) -> Iterator:
         shingles = Shingles(width)
 
@@ -529,24 +535,26 @@ def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int =
     needed = F.least(shared(least), F.least(n, n - least + shared(n)))
     candidates = written(classes.join(credits, F.col("rep") == F.col("a")).where(F.col("shared") >= needed).select("rep", "n"), f"{folder}/candidates")
 
-    bits, places = _bitmap(candidates.select("rep"))
+    def members(of: DataFrame) -> DataFrame:
+        """(doc, n, hashes) of all documents in ``of``, and of a few more."""
+        bits, places = _bitmap(of)
 
-    def sets(batches: Iterator) -> Iterator:
-        import zlib
+        def sets(batches: Iterator) -> Iterator:
+            import zlib
 
-        import pyarrow as pa
+            import pyarrow as pa
 
-        shingles, bitmap = Shingles(width), np.frombuffer(zlib.decompress(bits), np.uint8)
-        for batch in text_batches(batches):
-            ids = np.array(batch.column(0).to_pylist(), np.int64)
-            h = _place(ids, places)
-            maybe = np.flatnonzero(bitmap[h >> 3] >> (h & 7).astype(np.uint8) & 1)
-            if len(maybe):
-                part = batch.take(pa.array(maybe))
-                found = [shingles(t) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["doc", "n", "hashes"])
+            shingles, bitmap = Shingles(width), np.frombuffer(zlib.decompress(bits), np.uint8)
+            for batch in text_batches(batches):
+                ids = np.array(batch.column(0).to_pylist(), np.int64)
+                h = _place(ids, places)
+                maybe = np.flatnonzero(bitmap[h >> 3] >> (h & 7).astype(np.uint8) & 1)
+                if len(maybe):
+                    part = batch.take(pa.array(maybe))
+                    found = [shingles(t) for t in part.column(1).to_pylist()]
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["doc", "n", "hashes"])
 
-    members = rows.where("doc_id is not null").mapInArrow(lean(sets), "doc long, n long, hashes binary")
+        return rows.where("doc_id is not null").mapInArrow(lean(sets), "doc long, n long, hashes binary")
 
     def narrow(batches: Iterator) -> Iterator:
         def prefixes():
@@ -556,22 +564,48 @@ def jaccard_components(df: DataFrame, width: int = 5, num: int = 75, den: int =
 
         yield from _deal(prefixes(), buckets, False)
 
-    stars = _meet(members.select("doc", "hashes").mapInArrow(lean(narrow), DEALT), False, buckets)
+    stars = _meet(members(candidates.select("rep")).select("doc", "hashes").mapInArrow(lean(narrow), DEALT), False, buckets)
     blocks = written(components(stars, f"{folder}/blocks"), f"{folder}/labels")
-    links = components(_blocks(members, candidates, blocks, bounds, most, most_docs, folder), f"{folder}/links")
+    links = components(_blocks(members(blocks.select("node")), candidates, blocks, bounds, most, most_docs, folder), f"{folder}/links")
     links = written(links, f"{folder}/components")
 
     reps = classes.join(links.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component_id"))
     reps = written(reps, f"{folder}/result")
     removed(*(f"{folder}/{x}" for x in ("classes", "candidates", "blocks", "labels", "sizes", "places", "large", "first", "connected", "connected-labels", "open", "ranged", "ranges", "links", "components")))
-    return keyed.join(reps, ["k1", "k2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    found = keyed.join(reps, ["k1", "k2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "carried")
+    return found if carried_col else found.drop("carried")
+
+
+def keep_one(df: DataFrame, width: int = 5, num: int = 75, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of one row of each group of linked texts: the one of smallest id (rows without an id last).
+
+    Rows are told apart by id and text (a hash of 64 bits of both), so two texts of one id are two documents,
+    and rows without an id take part.  Of rows that repeat in id and text one stays.  Texts without words
+    are linked with nothing and all stay.  Columns keep their names, whatever they are called.
+    """
+    folder = new_folder(df.sparkSession, "kept")
+    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    packed = packed.withColumn("node", F.xxhash64("id", "text"))
+    found = jaccard_components(packed, width, num, den, id_col="node", carried_col="id").where("n_shingles > 0")
+    # narrow rows; copies are counted before anything is shuffled
+    nodes = written(found.groupBy(F.col("doc_id").alias("node"), F.col("component_id").alias("group"), F.col("carried").alias("id")).agg(F.count("*").alias("n")), f"{folder}/nodes")
+    first = nodes.groupBy("group").agg(F.min(F.struct(F.col("id").isNull(), "id", "node")).alias("first")).select("group", F.col("first.node").alias("first"))
+    judged = written(nodes.join(first, "group").select("node", "n", (F.col("node") == F.col("first")).alias("stays")), f"{folder}/judged")
+    gone = judged.where("not stays").select("node")
+    maybe = _maybe(F.col("node"), gone)
+    # most rows are known to stay without being shuffled
+    kept = packed.where(~maybe).unionByName(packed.where(maybe).join(gone, "node", "left_anti"))
+    again = judged.where("stays and n > 1").select("node")
+    if again.limit(1).count():
+        kept = kept.join(again, "node", "left_anti").unionByName(kept.join(again, "node", "left_semi").dropDuplicates(["node"]))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in df.columns])
 
 
 def _place(ids: np.ndarray, places: int) -> np.ndarray:
     return (mixed(ids.view(np.uint64)) % np.uint64(places)).astype(np.int64)
 
 
-def _bitmap(ids: DataFrame, least: int = 1 << 20, most: int = 1 << 28) -> tuple[bytes, int]:
+def _bitmap(ids: DataFrame, place=_place, least: int = 1 << 20, most: int = 1 << 28) -> tuple[bytes, int]:
     """A compressed bitmap with a bit for every id, and its number of places: 16 to 32 for each id within
     ``least`` and ``most`` (32 MB; from some 100 million ids on it lets ever more through).  What it lets
     through is joined, so it only saves work."""
@@ -584,7 +618,7 @@ def _bitmap(ids: DataFrame, least: int = 1 << 20, most: int = 1 << 28) -> tuple[
 
         bits = np.zeros(places // 8, np.uint8)
         for batch in batches:
-            h = _place(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), places)
+            h = place(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), places)
             np.bitwise_or.at(bits, h >> 3, np.uint8(1) << (h & 7).astype(np.uint8))
         yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(bits.tobytes(), 1)], pa.binary())], names=["bits"])
 
@@ -594,6 +628,19 @@ def _bitmap(ids: DataFrame, least: int = 1 << 20, most: int = 1 << 28) -> tuple[
     return zlib.compress(bits.tobytes(), 1), places
 
 
+def _maybe(node: Column, ids: DataFrame) -> Column:
+    """Whether a node may be one of ``ids`` (all of them and a few others): a bitmap looked up in the JVM.
+
+    Nodes are hashes, so that their remainder is a place."""
+    import zlib
+
+    bits, places = _bitmap(ids, lambda h, n: h % n)
+    held = ids.sparkSession.createDataFrame([(bytearray(zlib.decompress(bits)),)], "bits binary").scalar()
+    at = F.pmod(node, F.lit(places))
+    byte = F.conv(F.hex(F.substring(held, (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(at, F.lit(8)))), F.lit(2)) == 1
+
+
 def _blocks(members: DataFrame, sizes: DataFrame, blocks: DataFrame, bounds: Bounds, most: int, most_docs: int, folder: str) -> DataFrame:
     """Links of all blocks: those of bounded size at once, larger ones chunk by chunk."""
     counted = blocks.join(sizes, F.col("node") == F.col("rep")).groupBy("component").agg(F.count("*").alias("docs"), F.sum("n").alias("hashes"))

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import new_folder, text_batches, written
+from .storage import lean, new_folder, text_batches, written
 from .word_ids import word_ids
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, k int, task int, number long"
@@ -70,7 +70,7 @@ def _cut(df: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame
             names = [f.split(" ")[0] for f in PIECES.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return df.mapInArrow(run, PIECES)
+    return df.mapInArrow(lean(run), PIECES)
 
 
 def _best_fit(first: int, capacity: int):

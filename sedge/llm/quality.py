@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import text_batches
+from .storage import lean, text_batches
 
 #: Frequent short words of a few languages: their share tells prose from lists.
 FREQUENT = frozenset("the of and to in is that it for on with as be by this are from or an at de la le les des et en un une du que pour dans qui sur par est el los las y del se por con una der die das und von den mit zu dem nicht ein eine auf ist im für sich".split())
@@ -195,7 +195,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id_col
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values, pa.list_(pa.float64()))], names=["id", "label", "x"])
 
     # rows of repeated ids count once, so the driver gets at most ``sample`` short arrays
-    found = rows.mapInArrow(run, "id long, label int, x array<double>").groupBy("id").agg(F.min(F.struct("label", "x")).alias("r")).select("id", "r.label", "r.x").collect()
+    found = rows.mapInArrow(lean(run), "id long, label int, x array<double>").groupBy("id").agg(F.min(F.struct("label", "x")).alias("r")).select("id", "r.label", "r.x").collect()
     found.sort(key=lambda r: r.id)
     x = np.array([r.x for r in found], np.float64).reshape(len(found), len(FEATURES))
     return fit(x, np.array([r.label for r in found], np.float64))
@@ -211,7 +211,7 @@ def score_quality(df: DataFrame, model: Model, threshold: float = 0.3, id_col: s
             s = model.scores(np.array([features(t or "") for t in batch.column(2).to_pylist()], np.float64).reshape(batch.num_rows, len(FEATURES)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text")).mapInArrow(lean(run), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_quality(df: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
@@ -225,4 +225,4 @@ def keep_quality(df: DataFrame, model: Model, threshold: float = 0.3, text_col:
             s = model.scores(np.array([features(t or "") for t in batch.column(column).to_pylist()], np.float64).reshape(batch.num_rows, len(FEATURES)))
             yield batch.filter(pa.array(s >= threshold))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(lean(run), df.schema)

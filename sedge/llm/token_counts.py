@@ -20,7 +20,7 @@ from heapq import heapify, heappop, heappush
 
 from pyspark.sql import DataFrame
 
-from .storage import text_batches
+from .storage import lean, text_batches
 from .word_ids import ODD, byte_symbols
 
 #: Fixed value of byte-level BPE: the pre-token pattern.
@@ -130,4 +130,4 @@ def count_tokens(df: DataFrame, tokenizer: str, limit: int = 512, id_col: str =
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 
-    return df.select(id_col, text_col).mapInArrow(run, SCHEMA)
+    return df.select(id_col, text_col).mapInArrow(lean(run), SCHEMA)

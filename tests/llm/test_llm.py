@@ -320,6 +320,22 @@ def test_jaccard_keys(num, den):
             assert np.intersect1d(bounds.keys(a), bounds.keys(b)).size
 
 
+def test_keep_one(spark):
+    """Null ids, ids with two texts, repeated rows, texts without words, clashing columns, an empty table."""
+    from sedge.llm.jaccard_join import keep_one
+
+    words = [f"w{i}" for i in range(40)]
+    near = " ".join([*words[:-1], "other"])
+    a, b, c = " ".join(words), " ".join(f"v{i}" for i in range(9)), "one two"
+    rows = [(5, a), (3, near), (3, b), (None, a), (9, b), (None, c), (None, c), (7, c), (8, "solo text here"), (8, "solo text here"), (1, None), (1, None), (2, " "), (None, "no id at all"), (None, "no id at all")]
+    df = spark.createDataFrame([(i, t, k, "x") for k, (i, t) in enumerate(rows)], "doc_id long, text string, node int, `row` string")
+    got = keep_one(df)
+    assert got.schema == df.schema
+    found = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert found == sorted([(3, near), (3, b), (7, c), (8, "solo text here"), (1, None), (1, None), (2, " "), (None, "no id at all")], key=str)
+    assert keep_one(df.where("false")).count() == 0
+
+
 def test_exact_top_k(spark):
     from sedge.llm.exact_top_k import top_k
 
