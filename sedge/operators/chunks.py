@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.folds import scan
 from ..functions.text import has_content, stripped
 
 #: Labels that may be fused with one another.
@@ -16,24 +17,28 @@ PROSE, CODE = ["text", "paragraph", "list_item", "caption", "footnote"], ["code"
 def build_blocks(elements: DataFrame, target: int = 450, least: int = 24) -> DataFrame:
     """(doc_id, block, anchor, element_ids, text): neighbours of a family and section fused up to ``target``.
 
-    The running length starts anew with each block, so this is a fold over a document's sorted
-    elements, done by an array aggregate within the JVM.
+    The running length starts anew with each block, so a scan over a document's sorted elements, within the
+    JVM, finds each element's block by lengths alone; texts are put together once the blocks are known.
     """
     label = F.lower("label")
     family = F.when(label.isin(PROSE), "prose").when(label.isin(CODE), "code").otherwise("")
-    rows = elements.where(has_content(F.col("text"))).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("order", family.alias("family"), "reference_id", "id", stripped(F.col("text")).alias("text")))).alias("e"))
-    block = "array<struct<family:string,section:string,ids:array<string>,text:string>>"
-    empty = F.array().cast(block)
-
-    def step(acc: Column, e: Column) -> Column:
-        last = F.get(acc, F.size(acc) - 1)
-        fits = (F.size(acc) > 0) & (e["family"] != "") & (last["family"] == e["family"]) & (last["section"] == e["reference_id"]) & (F.length(last["text"]) + 1 + F.length(e["text"]) <= target)
-        own = F.array(F.struct(e["family"].alias("family"), e["reference_id"].alias("section"), F.array(e["id"]).alias("ids"), e["text"].alias("text")))
-        joined = F.array(F.struct(last["family"].alias("family"), last["section"].alias("section"), F.array_append(last["ids"], e["id"]).alias("ids"), F.concat(last["text"], F.lit("\n"), e["text"]).alias("text")))
-        return F.when(F.coalesce(fits, F.lit(False)), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), joined)).otherwise(F.concat(acc, own)).cast(block)
-
-    fused = rows.select("doc_id", F.filter(F.aggregate("e", empty, step), lambda b: F.length(b["text"]) >= least).alias("b"))
-    return fused.select("doc_id", F.posexplode("b").alias("block", "b")).select("doc_id", "block", F.get("b.ids", F.lit(0)).alias("anchor"), F.col("b.ids").alias("element_ids"), F.col("b.text").alias("text"))
+    text = stripped(F.col("text"))
+    rows = elements.where(has_content(F.col("text"))).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("order", family.alias("family"), "reference_id", "id", text.alias("text")))).alias("e"))
+
+    def step(now: Column, e: Column) -> tuple[Column, Column]:
+        n = F.length(e["text"])
+        fits = (e["family"] != "") & (now["family"] == e["family"]) & now["section"].eqNullSafe(e["reference_id"]) & (now["size"] + 1 + n <= target)
+        more = F.coalesce(fits, F.lit(False))
+        number = F.when(more, now["number"]).otherwise(now["number"] + 1)
+        size = F.when(more, now["size"] + 1 + n).otherwise(n)
+        return F.struct(number.alias("number"), e["family"].alias("family"), e["reference_id"].alias("section"), size.alias("size")), F.struct(number.alias("number"), e["order"].alias("order"), e["id"].alias("id"), e["text"].alias("text"))
+
+    start = F.struct(F.lit(-1).alias("number"), F.lit("").alias("family"), F.lit(None).cast("string").alias("section"), F.lit(0).alias("size"))
+    placed = rows.select("doc_id", F.inline(scan(F.col("e"), start, step, "struct<number:int,family:string,section:string,size:int>", "struct<number:int,order:int,id:string,text:string>")))
+    fused = placed.groupBy("doc_id", "number").agg(F.array_sort(F.collect_list(F.struct("order", "id", "text"))).alias("e"))
+    fused = fused.select("doc_id", "number", F.col("e.id").alias("element_ids"), F.array_join("e.text", "\n").alias("text")).where(F.length("text") >= least)
+    block = F.row_number().over(Window.partitionBy("doc_id").orderBy("number")) - 1
+    return fused.select("doc_id", block.alias("block"), F.get("element_ids", F.lit(0)).alias("anchor"), "element_ids", "text")
 
 
 def window_spans(text: str, size: int, overlap: int) -> list[str]:

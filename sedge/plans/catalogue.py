@@ -16,6 +16,7 @@ from ..operators import chunks as C
 from ..operators import elements as E
 from ..operators import graph as G
 from ..operators import matter as M
+from ..operators import reports as R
 from ..operators import vectors as V
 from ..sources import files as S
 
@@ -44,7 +45,7 @@ MARKED, PLAIN = T.accents()
 LINES = """
 doc_ AS (SELECT doc_id, 'docs/' || coalesce(source, 'none') || '/' || doc_id AS key, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
 line_ AS (SELECT doc_id, key, i - 1 AS pos, trim(l[i]) AS text FROM doc_, range(1, len(l) + 1) AS r(i)),
-lab_ AS (SELECT *, CAST(floor(pos / 10) + 1 AS INTEGER) AS page_no, length(text) % 4 AS heading_rank,
+lab_ AS (SELECT *, CAST(floor(pos / 10) + 1 AS INTEGER) AS page_no, length(text) % 13 AS heading_rank,
   CASE (doc_id + pos) % 10 WHEN 0 THEN 'section_header' WHEN 7 THEN 'picture' WHEN 8 THEN 'caption' WHEN 5 THEN 'list_item' ELSE 'text' END AS label FROM line_),
 pos_ AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS ord, row_number() OVER (PARTITION BY doc_id, page_no ORDER BY pos) - 1 AS page_position FROM lab_),
 id_ AS (SELECT *, left(sha256(key || '|' || page_no || '|' || page_position || '|' || left(text, 50)), 10) AS id FROM pos_)"""
@@ -65,8 +66,8 @@ vis_ AS (SELECT doc_id, label, id, last_value(CASE WHEN label = 'picture' THEN i
 edge_ AS (SELECT doc_id, CASE WHEN reference_id = 'DOC' THEN 'doc_' || key ELSE reference_id END AS src, id AS dst, 'PARENT_OF' AS edge_type, CAST(ord AS INTEGER) AS sequence, CAST(NULL AS VARCHAR) AS relation FROM tree_
   UNION ALL SELECT doc_id, id, dst, 'LINKED_TO', NULL, 'describes' FROM vis_ WHERE label = 'caption' AND dst IS NOT NULL)"""
 FOLD = f"translate(lower(coalesce(text, '')), '{MARKED}', '{PLAIN}')"
-TOTALS = [("a", 280), ("b", 30), ("c", 300), ("d", 100)]
-TOC = [("a", 1, 1, "Cover", 1), ("a", 2, 1, "Copyright", 3), ("a", 3, 1, "Table of Contents", 11), ("a", 4, 1, "Preface", 12), ("a", 5, 1, "Chapter 1", 20), ("a", 6, 2, "A section", 22), ("a", 7, 1, "Index", 274), ("b", 1, 1, "Chapter 1", 20), ("b", 2, 2, "Index", 22), ("c", 1, 1, "Contents", 1), ("d", 1, 1, "Index", 999)]
+TOTALS = [("a", 200), ("b", 40), ("c", 250), ("d", 90)]
+TOC = [("a", 1, 1, "Front Cover", 1), ("a", 2, 1, "Credits", 2), ("a", 3, 1, "TOC", 6), ("a", 4, 1, "Of tides", 9), ("a", 5, 1, "Slack water", 31), ("a", 6, 2, "Neap", 37), ("a", 7, 1, "Indexes", 191), ("b", 1, 1, "Moorings", 18), ("b", 2, 2, "Index", 33), ("c", 1, 1, "Sommaire", 1), ("d", 1, 1, "Colophon", 640)]
 _values = lambda rows: ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
 _titles = ", ".join(f"'{t}'" for t in T.SKIP_TITLES)
 SPANS = f"""toc(doc, pos, level, title, page) AS (VALUES {_values(TOC)}), tot(doc, pages) AS (VALUES {_values(TOTALS)}),
@@ -118,8 +119,10 @@ def exact_dedup(spark, sf):
 
 # --- language, titles, pages ----------------------------------------------------------------------
 
-_own = ", ".join(f"('{w}', '{lang}', {list(T.WORDS).index(lang)})" for w, lang in T.exclusive_words())
-LANG = f"""own(w, lang, k) AS (VALUES {_own}), langs AS (SELECT DISTINCT lang, k FROM own),
+_lists = ", ".join(f"('{lang}', {k}, '{words}')" for k, (lang, words) in enumerate(T.WORDS.items()))
+#: Words of one language alone are found by counting here, unlike in the query.
+LANG = f"""raw(lang, k, words) AS (VALUES {_lists}), each_word AS (SELECT DISTINCT lang, unnest(string_split(words, ' ')) AS w FROM raw), langs AS (SELECT lang, k FROM raw),
+own AS (SELECT w, any_value(lang) AS lang FROM each_word GROUP BY w HAVING count(*) = 1),
 tok AS (SELECT doc_id, regexp_extract_all({FOLD}, '[a-z]+') AS t FROM documents),
 cnt AS (SELECT doc_id, w, count(*) AS c FROM (SELECT doc_id, unnest(t) AS w FROM tok) GROUP BY ALL),
 sc AS (SELECT doc_id, len(t) AS n, langs.lang, k, coalesce((SELECT sum(c) FROM cnt JOIN own USING (w) WHERE cnt.doc_id = tok.doc_id AND own.lang = langs.lang), 0) AS s FROM tok, langs),
@@ -137,12 +140,12 @@ def language_confusion(spark, sf):
     return docs(spark, sf).groupBy("lang", T.detect_language(F.coalesce("text", F.lit(""))).alias("language")).agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {LINES}, b AS (SELECT doc_id, pos, text, coalesce(sum(length(text)) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM line_ WHERE text <> '') SELECT doc_id, string_agg(text, ' ' ORDER BY pos) AS sample FROM b WHERE before < 2000 GROUP BY doc_id")
+@query(f"WITH {LINES}, b AS (SELECT doc_id, pos, text, coalesce(sum(length(text)) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM line_ WHERE text <> '') SELECT doc_id, string_agg(text, ' ' ORDER BY pos) AS sample FROM b WHERE before < 20000 GROUP BY doc_id")
 def language_sample(spark, sf):
     return T.language_sample(E.line_elements(docs(spark, sf)))
 
 
-NAMED = [("13. Appendix", "appendix", False), ("0. Preface", "preface", False), ("A. Key Terms", "key terms", False), ("Table des Matières", "table des matieres", True), ("12", "12", False), ("  About   the — Author!  ", "about the author", True), ("Index", "index", True)]
+NAMED = [("4. Moorings", "moorings", False), ("7) Credits", "credits", True), ("B. Buoys and bells", "buoys and bells", False), ("Dédicace", "dedicace", True), ("88", "88", False), ("  Back   — Cover?  ", "back cover", True), ("Colophon", "colophon", True)]
 
 
 @query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', {str(c).lower()})" for a, b, c in NAMED) + ") AS t(title, normal, skipped)")
@@ -230,7 +233,14 @@ def figure_containment(spark, sf):
 # --- chunks ---------------------------------------------------------------------------------------
 
 
-@query()
+@query(f"""WITH RECURSIVE {TREE},
+con_ AS (SELECT doc_id, ord, id, label, reference_id, trim(text) AS text, CASE WHEN label IN ('text', 'list_item', 'caption') THEN 'prose' ELSE '' END AS family, row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS i FROM tree_ WHERE regexp_matches(text, '[\\p{{L}}\\p{{N}}]')),
+blk_(doc_id, i, family, reference_id, size, number) AS (SELECT doc_id, i, family, reference_id, length(text), 0 FROM con_ WHERE i = 1
+  UNION ALL SELECT c.doc_id, c.i, c.family, c.reference_id, CASE WHEN c.family <> '' AND c.family = b.family AND c.reference_id = b.reference_id AND b.size + 1 + length(c.text) <= 450 THEN b.size + 1 + length(c.text) ELSE length(c.text) END,
+    CASE WHEN c.family <> '' AND c.family = b.family AND c.reference_id = b.reference_id AND b.size + 1 + length(c.text) <= 450 THEN b.number ELSE b.number + 1 END
+  FROM blk_ b JOIN con_ c ON c.doc_id = b.doc_id AND c.i = b.i + 1),
+fus_ AS (SELECT c.doc_id, number, count(*) AS n, arg_min(c.id, c.i) AS anchor, string_agg(c.text, chr(10) ORDER BY c.i) AS text FROM con_ c JOIN blk_ USING (doc_id, i) GROUP BY ALL)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY number) - 1 AS INTEGER) AS block, anchor, CAST(n AS INTEGER) AS n_elements, text FROM fus_ WHERE length(text) >= 24""")
 def blocks(spark, sf):
     return C.build_blocks(E.structured(docs(spark, sf))).select("doc_id", "block", "anchor", F.size("element_ids").alias("n_elements"), "text")
 
@@ -294,22 +304,22 @@ def graph_counts(spark, sf):
 
 
 UP = f"""{EDGES}, st_ AS (SELECT DISTINCT doc_id, dst AS node, src AS ancestor FROM edge_ WHERE edge_type = 'PARENT_OF'),
-up_(doc_id, node, ancestor, hops) AS (SELECT doc_id, node, ancestor, 1 FROM st_ UNION ALL SELECT up_.doc_id, up_.node, st_.ancestor, hops + 1 FROM up_ JOIN st_ ON st_.doc_id = up_.doc_id AND st_.node = up_.ancestor WHERE hops < 8)"""
+up_(doc_id, node, ancestor, hops) AS (SELECT doc_id, node, ancestor, 1 FROM st_ UNION ALL SELECT up_.doc_id, up_.node, st_.ancestor, hops + 1 FROM up_ JOIN st_ ON st_.doc_id = up_.doc_id AND st_.node = up_.ancestor)"""
 
 
 @query(f"WITH RECURSIVE {UP} SELECT doc_id, node, CAST(max(hops) AS INTEGER) AS hops FROM up_ GROUP BY ALL")
 def graph_ascend(spark, sf):
-    return G.ancestors(G.edges(E.structured(docs(spark, sf))), depth=5).groupBy("doc_id", "node").agg(F.max("hops").alias("hops"))
+    return G.ancestors(G.edges(E.structured(docs(spark, sf)))).groupBy("doc_id", "node").agg(F.max("hops").alias("hops"))
 
 
 @query(f"WITH RECURSIVE {UP} SELECT doc_id, ancestor AS root, count(*) AS n FROM up_ GROUP BY ALL")
 def graph_subtree(spark, sf):
-    return G.ancestors(G.edges(E.structured(docs(spark, sf))), depth=5).groupBy("doc_id", F.col("ancestor").alias("root")).agg(F.count("*").alias("n"))
+    return G.ancestors(G.edges(E.structured(docs(spark, sf)))).groupBy("doc_id", F.col("ancestor").alias("root")).agg(F.count("*").alias("n"))
 
 
 @query(f"WITH RECURSIVE {UP} SELECT CAST(hops AS INTEGER) AS hops, count(*) AS n FROM up_ GROUP BY hops")
 def graph_path_lengths(spark, sf):
-    return G.ancestors(G.edges(E.structured(docs(spark, sf))), depth=5).groupBy("hops").agg(F.count("*").alias("n"))
+    return G.ancestors(G.edges(E.structured(docs(spark, sf)))).groupBy("hops").agg(F.count("*").alias("n"))
 
 
 @query(f"WITH RECURSIVE {TREE} SELECT doc_id, reference_id, string_agg(text, chr(10) ORDER BY ord) AS context FROM tree_ GROUP BY ALL")
@@ -396,10 +406,7 @@ def run_stats(spark, sf):
 @query(f"WITH r AS (SELECT event_id, event_type AS queue, {_RUN} AS s FROM events), n AS (SELECT *, count(*) OVER (PARTITION BY queue) - row_number() OVER (PARTITION BY queue ORDER BY event_id) + 1 AS newest, min(CASE WHEN s IN ('pending', 'running') THEN event_id END) OVER (PARTITION BY queue) AS open FROM r) SELECT queue, event_id FROM n WHERE newest <= 500 OR event_id >= coalesce(open, event_id + 1)")
 def run_pruning(spark, sf):
     runs = docs(spark, sf, "events").select("event_id", F.col("event_type").alias("queue"), F.expr(_RUN).alias("s"))
-    own = Window.partitionBy("queue")
-    open_ = F.min(F.when(F.col("s").isin("pending", "running"), F.col("event_id"))).over(own)
-    ranked = runs.withColumn("newest", F.row_number().over(own.orderBy(F.col("event_id").desc()))).withColumn("open", open_)
-    return ranked.where((F.col("newest") <= 500) | (F.col("event_id") >= F.coalesce("open", F.col("event_id") + 1))).select("queue", "event_id")
+    return R.retained(runs).select("queue", "event_id")
 
 
 @query("SELECT conv_id, turn, len(regexp_extract_all(text, '[0-9]+')) AS n, coalesce(array_to_string(regexp_extract_all(text, '[0-9]+'), ','), '') AS ids FROM conversations")

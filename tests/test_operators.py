@@ -14,10 +14,10 @@ def rows(df, *columns):
 @pytest.mark.parametrize(
     "path, key, filename, collection",
     [
-        ("htms/Practical MLOps/1. Introduction to MLOps.html", "htms/Practical MLOps/1. Introduction to MLOps", "1. Introduction to MLOps", "Practical MLOps"),
-        (".cleaned/htms/Practical MLOps/Preface.html", "htms/Practical MLOps/Preface", "Preface", "Practical MLOps"),
-        ("htms\\Mon Livre\\Chapitre.html", "htms/Mon Livre/Chapitre", "Chapitre", "Mon Livre"),
-        ("mds/note", "mds/note", "note", ""),
+        ("library/Harbour Tides/2. Slack water.html", "library/Harbour Tides/2. Slack water", "2. Slack water", "Harbour Tides"),
+        (".cleaned/library/Harbour Tides/Foreword.html", "library/Harbour Tides/Foreword", "Foreword", "Harbour Tides"),
+        ("library\\Sel et vent\\Marées.html", "library/Sel et vent/Marées", "Marées", "Sel et vent"),
+        ("jottings/moon", "jottings/moon", "moon", ""),
     ],
 )
 def test_identity(spark, path, key, filename, collection):
@@ -26,18 +26,19 @@ def test_identity(spark, path, key, filename, collection):
 
 
 def test_document_vid_fits_and_differs(spark):
-    keys = ["mon_livre", "é" * 400, "a" * 300 + "x", "a" * 300 + "y"]
+    keys = ["tides", "é" * 400, "a" * 300 + "x", "a" * 300 + "y"]
     got = [r[0] for r in spark.createDataFrame([(k,) for k in keys], "k string").select(elements.document_vid(F.col("k"))).collect()]
-    assert got[0] == "doc_mon_livre" and len(set(got)) == 4 and all(len(v.encode()) <= 256 for v in got)
+    assert got[0] == "doc_tides" and len(set(got)) == 4 and all(len(v.encode()) <= 256 for v in got)
 
 
-def test_heading_tree_is_the_stack(spark):
+@pytest.mark.parametrize(("ranks", "most"), [(7, 7), (13, 13), (None, 40)])
+def test_heading_tree_is_the_stack(spark, ranks, most):
     random.seed(5)
     data, want = [], {}
     for doc in range(20):
         stack = []
-        for k in range(30):
-            rank = random.randrange(7)
+        for k in range(30 if doc else 700):
+            rank = random.randrange(most)
             data.append((doc, "k", k, 1, f"t{k}", "heading", rank))
             while stack and stack[-1][1] >= rank:
                 stack.pop()
@@ -46,8 +47,21 @@ def test_heading_tree_is_the_stack(spark):
             stack.append((k, rank, depth))
     df = spark.createDataFrame(data, "doc_id long, key string, pos int, page_no int, text string, label string, heading_rank int")
     df = elements.with_positions(df).withColumn("id", F.col("pos").cast("string"))
-    got = {(r.doc_id, r.pos): (None if r.reference_id == "DOC" else int(r.reference_id), r.depth) for r in elements.with_headings(df).collect()}
+    got = {(r.doc_id, r.pos): (None if r.reference_id == "DOC" else int(r.reference_id), r.depth) for r in elements.with_headings(df, ranks).collect()}
     assert got == want
+    if ranks:
+        with pytest.raises(Exception, match="not below the given bound"):
+            elements.with_headings(df, ranks - 1).collect()
+
+
+def test_walk_goes_all_the_way_up(spark):
+    from sedge.operators import graph
+
+    chain = [(1, f"n{k}" if k else "doc_x", f"n{k + 1}", "PARENT_OF") for k in range(12)]
+    df = spark.createDataFrame([*chain, (2, "doc_y", "n1", "PARENT_OF")], "doc_id long, src string, dst string, edge_type string")
+    walks = graph.ancestors(df)
+    assert walks.where("doc_id = 1").agg(F.max("hops")).first()[0] == 12 and walks.where("doc_id = 1").count() == 78
+    assert {(r.doc_id, r.node) for r in graph.document_of(walks).collect()} == {(1, f"n{k}") for k in range(1, 13)} | {(2, "n1")}
 
 
 def test_window_edges():
@@ -70,8 +84,13 @@ def test_blocks_fuse_within_section_and_target(spark):
 def test_language(spark):
     en = "the cat is in the house and it was happy that you have more of the fish which they would be with this " * 2
     fr = "les chats sont dans une maison avec des amis et nous avons pour vous tout cette nuit mais pas plus sur leur lit " * 2
-    got = [r[0] for r in spark.createDataFrame([(en,), (fr,), ("short",), ("",)], "t string").select(T.detect_language(F.col("t"))).collect()]
-    assert got == ["en", "fr", "", ""]
+    it = "gli amici sono una bella compagnia per tutti perche questo mare non ha molto vento quando ogni barca parte dopo il sole e anche la luna che sempre torna senza fretta verso il porto " * 2
+    nl = "het schip is niet van de haven maar een boot die met ons naar zee vaart en ook door de storm zoals het altijd was zonder angst voor het water " * 2
+    pt = "os barcos são uma forma de viver para quem não tem pressa e também gosta muito do mar quando todos voltam depois pelo vento até ao porto com seus filhos " * 2
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in (en, fr, it, nl, pt, "short", "", None)], "t string").select(T.detect_language(F.col("t"))).collect()]
+    assert got == ["en", "fr", "it", "nl", "pt", "", "", ""]
+    folded = spark.createDataFrame([("ÀẾÑ ｆｕｌｌ ⓐ e\u0301",)], "t string").select(T.folded(F.col("t"))).first()[0]
+    assert folded == "aen full a e"
 
 
 def test_no_word_belongs_to_two_languages():
@@ -83,7 +102,7 @@ def test_skipped_and_kept_pages(spark):
     from sedge.plans.catalogue import _ranges
 
     got = sorted(rows(_ranges(spark).where("doc = 'a'"), "first", "last"))
-    assert got == [(12, 273)]
+    assert got == [(9, 190)]
 
 
 def test_outside_figures(spark):
