@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import index_shaped, is_matter
+from ..session import cut
 
 
 def toc_spans(toc: DataFrame, totals: DataFrame) -> DataFrame:
@@ -48,15 +49,59 @@ def sampled_pages(ranges: DataFrame, most: int = 20) -> DataFrame:
     return ranked.where((F.col("n") <= most) | wanted).select("doc", "page")
 
 
-def trailing_index(pages: DataFrame, totals: DataFrame, share: float = 0.25) -> DataFrame:
+def trailing_index(pages: DataFrame, totals: DataFrame, share: float = 0.25, lines: int = 15) -> DataFrame:
     """(doc, page): the run of index-shaped pages at the end, within the last share of the pages."""
     last = F.greatest(F.lit(1), F.floor(F.col("pages") * share).cast("int"))
     tail = totals.select("doc", "pages", F.explode(F.sequence(F.col("pages") - last + 1, "pages")).alias("page")).join(pages, ["doc", "page"], "left")
-    shaped = F.coalesce(index_shaped(F.col("text")), F.lit(False)).cast("int")
+    shaped = F.coalesce(index_shaped(F.col("text"), lines), F.lit(False)).cast("int")
     run = F.min(shaped).over(Window.partitionBy("doc").orderBy(F.col("page").desc()).rowsBetween(Window.unboundedPreceding, 0))
     return tail.withColumn("run", run).where("run = 1").select("doc", "page")
 
 
+def all_skipped(by_bookmark: DataFrame, by_shape: DataFrame, totals: DataFrame, late: float = 0.6) -> DataFrame:
+    """(doc, page): pages skipped by bookmarks and, where none of them lies late in a document, by their shape."""
+    found = totals.join(by_bookmark, "doc").where(F.col("page") > F.col("pages") * late).select("doc").distinct()
+    return by_bookmark.select("doc", "page").unionByName(by_shape.join(found, "doc", "left_anti").select("doc", "page")).distinct()
+
+
+def heading_sizes(headings: DataFrame, spans: DataFrame) -> DataFrame:
+    """Adds size, the largest font size met in a heading's box (0 if none); both have (doc, page, l, b, r, t)."""
+    h, s = headings.alias("h"), spans.alias("s")
+    meets = (F.col("s.l") < F.col("h.r")) & (F.col("h.l") < F.col("s.r")) & (F.col("s.b") < F.col("h.t")) & (F.col("h.b") < F.col("s.t"))
+    same = (F.col("h.doc") == F.col("s.doc")) & (F.col("h.page") == F.col("s.page"))
+    own = [F.col(f"h.{c}").alias(c) for c in headings.columns]
+    return h.join(s, same & meets, "left").groupBy(*own).agg(F.coalesce(F.round(F.max("s.size"), 1), F.lit(0.0)).alias("size"))
+
+
+def paged_ranks(headings: DataFrame, ranks: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Adds rank: that of a heading's size; one that can't be ranked comes below all; null without any ranks.
+
+    ``headings`` has (doc, order, size), ``ranks`` (doc, size, rank) of the sizes above the body's, and
+    ``candidates`` (doc, order) of the headings that lie in no figure.
+    """
+    last = ranks.groupBy("doc").agg((F.max("rank") + 1).alias("__below"))
+    known = candidates.select("doc", "order", F.lit(True).alias("__free"))
+    met = headings.join(last, "doc", "left").join(known, ["doc", "order"], "left").join(ranks.withColumnRenamed("rank", "__rank"), ["doc", "size"], "left")
+    return met.withColumn("rank", F.coalesce(F.when(F.col("__free"), F.col("__rank")), F.col("__below"))).drop("__below", "__free", "__rank")
+
+
+def declared_ranks(items: DataFrame, hops: int = 32) -> DataFrame:
+    """(doc, ref, rank): headings above an item along its declared parents; without a known parent, its level.
+
+    ``items`` has (doc, ref, parent, is_heading, level); a parent '#/body' ends the walk with what was counted.
+    """
+    up = items.select("doc", F.col("ref").alias("__at"), F.col("parent").alias("__up"), F.col("is_heading").alias("__head"))
+    now = items.select("doc", "ref", "level", F.col("parent").alias("__at"), F.lit(0).alias("__n"), F.lit(False).alias("__done"))
+    for _ in range(hops):
+        met = now.join(up, ["doc", "__at"], "left")
+        step = met.select("doc", "ref", "level", F.coalesce("__up", F.lit("#/body")).alias("__at"), (F.col("__n") + F.coalesce(F.col("__head").cast("int"), F.lit(0))).alias("__n"), (F.col("__done") | F.col("__up").isNull()).alias("__done"))
+        now = cut(step)
+        if not now.where("not __done and __at <> '#/body'").limit(1).count():
+            break
+    own = items.select("doc", "ref", F.col("parent").isNotNull().alias("__has"))
+    return now.join(own, ["doc", "ref"]).select("doc", "ref", F.when(F.col("__has"), F.col("__n")).otherwise(F.col("level")).alias("rank"))
+
+
 def font_ranks(spans: DataFrame) -> DataFrame:
     """(doc, size, rank): sizes above the body's, largest first; the body is the size with most characters."""
     sized = spans.groupBy("doc", F.round("size", 1).alias("size")).agg(F.sum("chars").alias("chars"))
