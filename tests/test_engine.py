@@ -19,7 +19,7 @@ def test_paragraphs(spark):
         "a\nb\n\nc  \nd\\\ne\n": "a b\n\nc  \nd\\\ne\n",
         "one\n  two  \nthree": "one two\nthree",
         "# h\nx\ny\n- i\nz": "# h\nx y\n- i\nz",
-        "a\nTitle\n===\nb\nc": "a\nTitle\n===\nb c",
+        "a\nTitle\n---\nb\nc": "a\nTitle\n---\nb c",
         "```\na\nb\n~~~\n```\nc\nd": "```\na\nb\n~~~\n```\nc d",
         "~~~\na\nb": "~~~\na\nb",
         "> q\nr\n| t |\n<div>\n    code\n1. n\n***\nx": "> q\nr\n| t |\n<div>\n    code\n1. n\n***\nx",
