@@ -175,6 +175,25 @@ def test_license_scan(docs, empty):
     assert got[1].labels == "gpl-3" and got[1].n_base == 0 and got[2].n_base == 2 and got[2].last_word == 4 and got[3].labels == ""
 
 
+def test_license_scan_of_whole_licenses(spark):
+    """Whole texts with words changed, put in and left out; a part alone is not enough."""
+    from sedge.llm.license_scan import TEXTS, scan
+
+    rng, rows, want = random.Random(1), [], {}
+    for k, (label, text) in enumerate(TEXTS.items()):
+        words = text.split(" ")
+        for at in sorted(rng.sample(range(len(words)), len(words) // 25), reverse=True):
+            words[at : at + 1] = rng.choice([[], ["other"], [words[at], "indeed"]])
+        rows.append((k, "Before it. " + ", ".join(words).upper() + " After it."))
+        want[k] = label
+        rows.append((100 + k, " ".join(text.split(" ")[: len(text.split(" ")) // 3])))
+    got = {r.doc_id: r for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, label in want.items():
+        assert label in got[k].labels.split(",") and got[k].score >= 0.8, label
+    assert max(len(t.split(" ")) for t in TEXTS.values()) > 62
+    assert got[101].n_base == 0 and got[102].labels == "" and got[104].labels == ""
+
+
 PII = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
