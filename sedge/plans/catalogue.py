@@ -1,7 +1,7 @@
 """The query catalogue with DuckDB SQL for every query that SQL can express.
 
 The documents have no layout, so labels, ranks, pages and references are derived from a line's place and
-length (``operators.elements.line_elements``); literal tables cover what the documents lack.
+length (``operators.elements.line_elements``), and bookmarks and titles from them, in the same way in the SQL.
 """
 
 from __future__ import annotations
@@ -66,28 +66,31 @@ vis_ AS (SELECT doc_id, label, id, last_value(CASE WHEN label = 'picture' THEN i
 edge_ AS (SELECT doc_id, CASE WHEN reference_id = 'DOC' THEN 'doc_' || key ELSE reference_id END AS src, id AS dst, 'PARENT_OF' AS edge_type, CAST(ord AS INTEGER) AS sequence, CAST(NULL AS VARCHAR) AS relation FROM tree_
   UNION ALL SELECT doc_id, id, dst, 'LINKED_TO', NULL, 'describes' FROM vis_ WHERE label = 'caption' AND dst IS NOT NULL)"""
 FOLD = f"translate(lower(coalesce(text, '')), '{MARKED}', '{PLAIN}')"
-TOTALS = [("a", 200), ("b", 40), ("c", 250), ("d", 90)]
-TOC = [("a", 1, 1, "Front Cover", 1), ("a", 2, 1, "Credits", 2), ("a", 3, 1, "TOC", 6), ("a", 4, 1, "Of tides", 9), ("a", 5, 1, "Slack water", 31), ("a", 6, 2, "Neap", 37), ("a", 7, 1, "Indexes", 191), ("b", 1, 1, "Moorings", 18), ("b", 2, 2, "Index", 33), ("c", 1, 1, "Sommaire", 1), ("d", 1, 1, "Colophon", 640)]
-_values = lambda rows: ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
 _titles = ", ".join(f"'{t}'" for t in T.SKIP_TITLES)
-SPANS = f"""toc(doc, pos, level, title, page) AS (VALUES {_values(TOC)}), tot(doc, pages) AS (VALUES {_values(TOTALS)}),
+#: Headings as bookmarks, two lines to a page; some have the title of front or back matter.
+SPANS = f"""{LINES},
+toc(doc, pos, level, title, page) AS (SELECT doc_id, ord, 1 + heading_rank % 3, CASE ord % 4 WHEN 0 THEN 'Index' WHEN 1 THEN '2. Contents' ELSE text END, CAST(floor(pos / 2) + 1 AS INTEGER) FROM id_ WHERE label = 'section_header'),
+tot(doc, pages) AS (SELECT doc_id, CAST(floor(max(pos) / 2) + 1 AS INTEGER) FROM id_ GROUP BY 1),
 span_ AS (SELECT a.doc, a.pos, a.level, a.title, a.page AS start, coalesce((SELECT arg_min(b.page, b.pos) FROM toc b WHERE b.doc = a.doc AND b.pos > a.pos AND b.level <= a.level AND b.page > a.page) - 1, t.pages) AS "end", t.pages
   FROM toc a JOIN tot t ON t.doc = a.doc WHERE a.page BETWEEN 1 AND t.pages),
-skip_ AS (SELECT DISTINCT doc, p AS page FROM span_, range(start, "end" + 1) AS r(p) WHERE lower(title) IN ({_titles}) AND "end" - start + 1 <= greatest(1, CAST(floor(pages * 0.35) AS INTEGER))),
+skip_ AS (SELECT DISTINCT doc, p AS page FROM span_, range(start, "end" + 1) AS r(p) WHERE regexp_replace(lower(title), '^2\\. ', '') IN ({_titles}) AND "end" - start + 1 <= greatest(1, CAST(floor(pages * 0.35) AS INTEGER))),
 kept_ AS (SELECT doc, p AS page, p - row_number() OVER (PARTITION BY doc ORDER BY p) AS g FROM tot, range(1, pages + 1) AS r(p) WHERE (doc, p) NOT IN (SELECT (doc, page) FROM skip_)),
 range_ AS (SELECT doc, min(page) AS first, max(page) AS last FROM kept_ GROUP BY doc, g)"""
 
 
-def _toc(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    return spark.createDataFrame(TOC, "doc string, pos int, level int, title string, page int"), spark.createDataFrame(TOTALS, "doc string, pages int")
+def _toc(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    e = E.with_positions(E.line_elements(docs(spark, sf), lines_a_page=2))
+    title = F.when(F.col("order") % 4 == 0, "Index").when(F.col("order") % 4 == 1, "2. Contents").otherwise(F.col("text"))
+    toc = e.where("label = 'section_header'").select(F.col("doc_id").alias("doc"), F.col("order").alias("pos"), (1 + F.col("heading_rank") % 3).alias("level"), title.alias("title"), F.col("page_no").alias("page"))
+    return toc, e.groupBy(F.col("doc_id").alias("doc")).agg(F.max("page_no").alias("pages"))
 
 
-def _spans(spark: SparkSession) -> DataFrame:
-    return M.toc_spans(*_toc(spark))
+def _spans(spark: SparkSession, sf: str) -> DataFrame:
+    return M.toc_spans(*_toc(spark, sf))
 
 
-def _ranges(spark: SparkSession) -> DataFrame:
-    return M.kept_ranges(_toc(spark)[1], M.skipped_pages(_spans(spark)))
+def _ranges(spark: SparkSession, sf: str) -> DataFrame:
+    return M.kept_ranges(_toc(spark, sf)[1], M.skipped_pages(_spans(spark, sf)))
 
 
 # --- identity, ids, change, duplicates ------------------------------------------------------------
@@ -145,13 +148,18 @@ def language_sample(spark, sf):
     return T.language_sample(E.line_elements(docs(spark, sf)))
 
 
-NAMED = [("4. Moorings", "moorings", False), ("7) Credits", "credits", True), ("B. Buoys and bells", "buoys and bells", False), ("Dédicace", "dedicace", True), ("88", "88", False), ("  Back   — Cover?  ", "back cover", True), ("Colophon", "colophon", True)]
+_NAMES = "CASE doc_id % 7 WHEN 0 THEN (doc_id % 30) || '. ' WHEN 1 THEN 'IV) ' WHEN 2 THEN 'B. ' ELSE '' END || CASE doc_id % 5 WHEN 0 THEN ['Dédicace', 'Back  Cover', 'COLOPHON', 'Table des Matières'][doc_id % 4 + 1] ELSE left(split_part(coalesce(text, ''), chr(10), 1), 30) END"
+_low = f"trim(translate(lower(title), '{MARKED}', '{PLAIN}'))"
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', {str(c).lower()})" for a, b, c in NAMED) + ") AS t(title, normal, skipped)")
+@query(f"""WITH t AS (SELECT doc_id, {_NAMES} AS title FROM documents), c AS (SELECT doc_id, {_low} AS low, regexp_replace({_low}, '^(?:[0-9]+[.)\\-–—]?|[ivxlcdm]+[.)\\-–—]|[a-z][.)\\-–—])\\s+', '') AS cut FROM t),
+n AS (SELECT doc_id, trim(regexp_replace(regexp_replace(CASE WHEN length(cut) > 0 THEN cut ELSE low END, '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g')) AS normal FROM c) SELECT doc_id, normal, normal IN ({_titles}) AS skipped FROM n""")
 def title_filter(spark, sf):
-    rows = spark.createDataFrame([(a,) for a, _, _ in NAMED], "title string")
-    return rows.select("title", T.normal_title(F.col("title")).alias("normal"), T.is_matter(F.col("title")).alias("skipped"))
+    names = F.get(F.array(*map(F.lit, ["Dédicace", "Back  Cover", "COLOPHON", "Table des Matières"])), (F.col("doc_id") % 4).cast("int"))
+    number = F.when(F.col("doc_id") % 7 == 0, F.concat((F.col("doc_id") % 30).cast("string"), F.lit(". "))).when(F.col("doc_id") % 7 == 1, "IV) ").when(F.col("doc_id") % 7 == 2, "B. ").otherwise("")
+    first = F.substring(F.substring_index(F.coalesce("text", F.lit("")), "\n", 1), 1, 30)
+    title = F.concat(number, F.when(F.col("doc_id") % 5 == 0, names).otherwise(first))
+    return docs(spark, sf).select("doc_id", T.normal_title(title).alias("normal"), T.is_matter(title).alias("skipped"))
 
 
 @query("""WITH l AS (SELECT doc_id, [y for y in [trim(x) for x in string_split(coalesce(text, ''), chr(10))] if y <> ''] AS l FROM documents)
@@ -167,27 +175,27 @@ def text_layer(spark, sf):
 
 @query(f"WITH {SPANS} SELECT * FROM span_")
 def toc_spans(spark, sf):
-    return _spans(spark)
+    return _spans(spark, sf)
 
 
 @query(f"WITH {SPANS} SELECT doc, page FROM skip_")
 def skip_pages(spark, sf):
-    return M.skipped_pages(_spans(spark))
+    return M.skipped_pages(_spans(spark, sf))
 
 
 @query(f"WITH {SPANS} SELECT * FROM range_")
 def kept_ranges(spark, sf):
-    return _ranges(spark)
+    return _ranges(spark, sf)
 
 
 @query(f"WITH {SPANS} SELECT doc, f AS first, least(f + 4, last) AS last FROM range_, range(first, last + 1, 5) AS r(f)")
 def page_batches(spark, sf):
-    return M.page_batches(_ranges(spark))
+    return M.page_batches(_ranges(spark, sf))
 
 
 @query(f"WITH {SPANS}, k AS (SELECT doc, page, row_number() OVER (PARTITION BY doc ORDER BY page) - 1 AS i, count(*) OVER (PARTITION BY doc) AS n FROM kept_) SELECT doc, page FROM k WHERE n <= 20 OR i IN (SELECT CAST(floor(j * n / 20) AS BIGINT) FROM range(0, 20) AS r(j))")
 def sample_pages(spark, sf):
-    return M.sampled_pages(_ranges(spark))
+    return M.sampled_pages(_ranges(spark, sf))
 
 
 # --- structure ------------------------------------------------------------------------------------

@@ -99,10 +99,20 @@ def test_no_word_belongs_to_two_languages():
 
 
 def test_skipped_and_kept_pages(spark):
-    from sedge.plans.catalogue import _ranges
-
-    got = sorted(rows(_ranges(spark).where("doc = 'a'"), "first", "last"))
-    assert got == [(9, 190)]
+    toc = [("a", 1, 1, "Front Cover", 1), ("a", 2, 1, "Credits", 2), ("a", 3, 1, "TOC", 6), ("a", 4, 1, "Of tides", 9), ("a", 5, 1, "Slack water", 31), ("a", 6, 2, "Neap", 37), ("a", 7, 1, "Indexes", 191), ("b", 1, 1, "Moorings", 18), ("b", 2, 2, "Index", 33), ("c", 1, 1, "Sommaire", 1), ("d", 1, 1, "Colophon", 640)]
+    toc = spark.createDataFrame(toc, "doc string, pos int, level int, title string, page int")
+    totals = spark.createDataFrame([("a", 200), ("b", 40), ("c", 250), ("d", 90)], "doc string, pages int")
+    skipped = matter.skipped_pages(matter.toc_spans(toc, totals))
+    got = sorted(rows(matter.kept_ranges(totals, skipped), "doc", "first", "last"))
+    assert got == [("a", 9, 190), ("b", 1, 32), ("c", 1, 250), ("d", 1, 90)]
+    sampled = matter.sampled_pages(matter.kept_ranges(totals, skipped)).where("doc = 'b'")
+    assert sorted(x for (x,) in rows(sampled, "page")) == sorted({int(i * 32 / 20) + 1 for i in range(20)})
+
+
+@pytest.mark.parametrize(("title", "normal", "skipped"), [("4. Moorings", "moorings", False), ("7) Credits", "credits", True), ("B. Buoys and bells", "buoys and bells", False), ("Dédicace", "dedicace", True), ("88", "88", False), ("  Back   — Cover?  ", "back cover", True)])
+def test_titles(spark, title, normal, skipped):
+    r = spark.createDataFrame([(title,)], "t string").select(T.normal_title(F.col("t")), T.is_matter(F.col("t"))).first()
+    assert tuple(r) == (normal, skipped)
 
 
 def test_outside_figures(spark):
