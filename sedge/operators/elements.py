@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.folds import scan
+from ..functions.text import stripped
 
 #: Tag of each label; any other label is a Paragraph.
 TAGS = {"text": "Paragraph", "paragraph": "Paragraph", "heading": "SectionHeader", "section_header": "SectionHeader", "title": "SectionHeader", "list_item": "ListItem", "table": "Table", "picture": "Picture", "formula": "Formula", "code": "Code", "caption": "Caption", "footnote": "Footnote", "page_header": "PageHeader", "page_footer": "PageFooter"}
@@ -32,6 +33,22 @@ def element_id(key: Column, page: Column, position: Column, text: Column) -> Col
     return F.substring(F.sha2(F.concat_ws("|", key, page.cast("string"), position.cast("string"), F.substring(text, 1, 50)), 256), 1, 10)
 
 
+def item_text(text: Column, table: Column | None = None) -> Column:
+    """An item's text without white space at its ends; where it has none its table's text, else ''."""
+    other = F.lit(None).cast("string") if table is None else table
+    return F.coalesce(F.nullif(stripped(text), F.lit("")), other, F.lit(""))
+
+
+def first_provenance(places: Column) -> Column:
+    """The first of an item's places, null if it has none."""
+    return F.get(places, F.lit(0))
+
+
+def image_url(sent: Column, uri: Column) -> Column:
+    """Where an image was sent, else its own address if it is one of the web's, else ''."""
+    return F.coalesce(F.nullif(sent, F.lit("")), F.when(F.startswith(uri, F.lit("http")), uri), F.lit(""))
+
+
 def tag_of(label: Column) -> Column:
     known = F.create_map(*[F.lit(x) for pair in TAGS.items() for x in pair])
     return F.coalesce(F.element_at(known, F.lower(label)), F.lit("Paragraph"))

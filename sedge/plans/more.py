@@ -15,6 +15,7 @@ from ..operators import media as X
 from ..operators import pages as P
 from ..operators import reports as R
 from ..operators import statements as S
+from ..operators import vectors as V
 from ..sources import config as Z
 from ..sources import files as L
 from .catalogue import EDGES, LINES, REFS, TREE, UP, docs, query
@@ -168,6 +169,17 @@ def markdown_image_totals(spark, sf):
     return D.image_totals(D.resolved(refs, there))
 
 
+@query(f"WITH {LINES} SELECT doc_id, id, CASE WHEN pos % 3 = 0 THEN '| ' || doc_id || ' |' WHEN pos % 3 = 1 THEN '' ELSE text END AS text, CASE WHEN pos % 4 = 0 THEN CAST(page_no AS INTEGER) END AS page, CASE WHEN pos % 5 = 0 THEN 's/' || pos WHEN pos % 5 = 1 THEN 'http://h/' || pos ELSE '' END AS url FROM id_")
+def item_fields(spark, sf):
+    e = E.with_ids(E.with_positions(E.line_elements(docs(spark, sf))))
+    pos = F.col("pos")
+    text = F.when(pos % 3 == 0, F.lit(" \t\n")).when(pos % 3 == 1, F.lit(None)).otherwise(F.concat(F.lit("  "), "text", F.lit("\n")))
+    table = F.when(pos % 3 == 0, F.concat(F.lit("| "), "doc_id", F.lit(" |")))
+    places = F.when(pos % 4 == 0, F.array(F.col("page_no"), F.lit(99)))
+    sent, uri = F.when(pos % 5 == 0, F.concat(F.lit("s/"), "pos")), F.when(pos % 5 < 2, F.concat(F.lit("http://h/"), "pos")).otherwise("data:x")
+    return e.select("doc_id", "id", E.item_text(text, table).alias("text"), E.first_provenance(places).alias("page"), E.image_url(sent, uri).alias("url"))
+
+
 # --- statements -----------------------------------------------------------------------------------
 
 _esc = "replace(replace(replace(replace(replace({0}, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't')"
@@ -277,6 +289,14 @@ def index_percentages(spark, sf):
     return docs(spark, sf).groupBy("source").agg(F.count("*").alias("n"), R.percentage(weak, F.count("*")).alias("weak"))
 
 
+@query("""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), s AS (SELECT q.vec_id AS query_id, c.vec_id, round(list_distance(c.e, q.e) ** 2, 6) AS distance FROM v q, v c WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM s) SELECT query_id, vec_id, distance, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 20""")
+def knn_every_question(spark, sf):
+    vectors = docs(spark, sf, "embeddings")
+    asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("question"))
+    return V.nearest_of_each(vectors, asked)
+
+
 # --- graph reads ----------------------------------------------------------------------------------
 
 _TAG = "CASE label WHEN 'section_header' THEN 'SectionHeader' WHEN 'picture' THEN 'Picture' WHEN 'caption' THEN 'Caption' WHEN 'list_item' THEN 'ListItem' ELSE 'Paragraph' END"
