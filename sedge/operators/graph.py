@@ -48,6 +48,13 @@ def children(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     return edges.where("edge_type = 'PARENT_OF'").join(vertices.select(F.col("vid").alias("dst"), "tag"), "dst").select("doc_id", "src", "dst", "tag", "sequence")
 
 
+def matching(rows: DataFrame, **properties) -> DataFrame:
+    """Rows whose properties have the values given; None stands for a missing one."""
+    for name, value in properties.items():
+        rows = rows.where(F.col(name).eqNullSafe(F.lit(value)))
+    return rows
+
+
 def node(vertices: DataFrame, vid: str) -> DataFrame:
     """The vertex of an id with its tag and properties."""
     return vertices.where(F.col("vid") == vid)

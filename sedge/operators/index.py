@@ -82,6 +82,11 @@ def contract(chunks: DataFrame, vertices: DataFrame) -> DataFrame:
     )
 
 
+def nodes_of(chunks: DataFrame, vertices: DataFrame) -> DataFrame:
+    """(chunk_id, vid, tag, page_no): the vertex each chunk of a search leads to; chunks without one are left out."""
+    return chunks.select("chunk_id", F.col("graph_node_id").alias("vid")).join(vertices.select("vid", "tag", "page_no"), "vid").select("chunk_id", "vid", "tag", "page_no")
+
+
 def missing_keys(chunks: DataFrame) -> list[str]:
     """Metadata keys that a table of chunks lacks."""
     return [k for k in METADATA if k not in chunks.columns]

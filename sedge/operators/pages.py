@@ -79,3 +79,13 @@ def plain_text(html: Column) -> Column:
 def object_key(key: Column, dots: bool = False) -> Column:
     """A key that is safe in object names; attachments keep their dots."""
     return F.regexp_replace(F.regexp_replace(key, r"[^A-Za-z0-9/_.-]+" if dots else r"[^A-Za-z0-9/_-]+", "_"), r"^[/_]+|[/_]+$", "")
+
+
+def mirrored(key: Column, folder: str = ".cleaned") -> Column:
+    """Where a page's cleaned form goes: its own path below ``folder``, which its identity leaves out again."""
+    return F.concat(F.lit(folder + "/"), F.ltrim(F.replace(key, F.lit("\\"), F.lit("/")), F.lit("/")))
+
+
+def write_mirror(cleaned: DataFrame, target: str, key_col: str = "partition_key", html_col: str = "html") -> None:
+    """Cleaned pages as a table (path, html) whose paths mirror the tree; writing it again replaces it."""
+    cleaned.select(mirrored(F.col(key_col)).alias("path"), F.col(html_col).alias("html")).write.mode("overwrite").parquet(target)

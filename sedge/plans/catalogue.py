@@ -424,12 +424,12 @@ def citations(spark, sf):
 
 
 def queries() -> dict[str, Query]:
-    from . import more  # noqa: F401  adds its queries
+    from . import more, service  # noqa: F401  add their queries
 
     return dict(FOUND)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import more  # noqa: F401
+    from . import more, service  # noqa: F401
 
     return dict(SQL)
