@@ -102,3 +102,17 @@ def test_pages_on_a_table(spark):
     assert got[1].strategy == "article" and got[1].error is None and got[2].text == got[3].text == "" and got[4].text == "x"
     found = media(clean_pages(spark.createDataFrame(rows, "page_id long, html binary"))).collect()
     assert [(r.object_key, r.content_type, len(r.payload)) for r in found] == [("images/html/1/img_0000.png", "image/png", 5000)]
+
+
+def test_references_that_are_cut_off(spark, tmp_path):
+    from sedge.plans import catalogue
+
+    cut = "Ebb &amp; flow &amp"
+    page = f"<title>{cut}</title><!-- &amp --><script type='math/tex'>a &b</script><article><h1>{cut}</h1><p>{LONG}</p><a href='?a=1&copy=2'>R&D; &lt</a></article>"
+    spark.createDataFrame([(1, page), (2, None)], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    [got] = catalogue.queries()["html_main_content"](spark, str(tmp_path)).collect()
+    text = f"Ebb & flow &amp {LONG.strip()} R&D; &lt"
+    assert got == (1, "Ebb & flow &amp", text, len(text))
+    assert catalogue.queries()["html_title"](spark, str(tmp_path)).first().title == got.title
+    # elsewhere such references are read as browsers do, and formulas keep their signs either way
+    assert clean(page).title == "Ebb & flow &" and all("$a &amp;b$" in body(page, complete_references=only) for only in (False, True))
