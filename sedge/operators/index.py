@@ -17,26 +17,25 @@ FLOOR = 24
 ID = r"^[a-f0-9]{10}$"
 
 
-def build_chunks(pieces: DataFrame, elements: DataFrame, documents: DataFrame, floor: int = FLOOR) -> DataFrame:
+def build_chunks(rows: DataFrame, documents: DataFrame, floor: int = FLOOR) -> DataFrame:
     """(chunk_id, document, *METADATA) of the pieces that are kept.
 
-    ``pieces`` has (doc_id, chunk, refs, text), ``elements`` the elements with self_ref, ``documents`` (doc_id,
-    filename, collection, source_path, language).  Pieces without a known reference go; anchors are numbered
-    before those without content or below ``floor`` characters go, so that numbers may have gaps.
+    ``rows`` has the elements with self_ref and the pieces' references with text, as ``anchored`` takes them,
+    ``documents`` (doc_id, filename, collection, source_path, language).  Pieces without a known reference go;
+    anchors are numbered before those without content or below ``floor`` characters go, so that numbers may
+    have gaps.  If ``rows`` are divided by document, texts are not shuffled here.
     """
-    known = elements.groupBy("doc_id", "self_ref").agg(F.max_by(F.struct("id", "label", "page_no", "reference_id", "depth", "section_title", "page_position", "ref_position"), "order").alias("e"))
-    first = anchored(pieces.select("doc_id", "chunk", "refs"), elements)
-    named = known.groupBy("doc_id", F.col("e.id").alias("id")).agg(F.max("e").alias("e"))
-    met = pieces.select("doc_id", "chunk", stripped(F.col("text")).alias("document")).join(first, ["doc_id", "chunk"]).join(named, ["doc_id", "id"]).join(documents, "doc_id")
+    own = ("label", "page_no", "reference_id", "depth", "section_title", "page_position", "ref_position")
+    met = anchored(rows, own, texts=True).withColumn("document", stripped(F.col("text"))).join(documents, "doc_id")
     kept = met.where(has_content(F.col("document")) & (F.length("document") >= floor))
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     number = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("int")
-    own = {
-        "element_id": F.col("id"), "graph_node_id": F.col("id"), "filename": text("filename"), "collection": text("collection"), "source_path": text("source_path"), "language": text("language"), "label": text("e.label"),
-        "page_no": number("e.page_no"), "minio_url": F.lit(""), "reference_id": F.coalesce("e.reference_id", F.lit("DOC")), "depth": number("e.depth"), "section_title": text("e.section_title"),
-        "page_position": number("e.page_position"), "ref_position": number("e.ref_position"), "chunk_index": number("chunk_index"), "chunk_count": number("chunk_count"), "block_size": number("block_size"),
+    told = {
+        "element_id": F.col("id"), "graph_node_id": F.col("id"), "filename": text("filename"), "collection": text("collection"), "source_path": text("source_path"), "language": text("language"), "label": text("label"),
+        "page_no": number("page_no"), "minio_url": F.lit(""), "reference_id": F.coalesce("reference_id", F.lit("DOC")), "depth": number("depth"), "section_title": text("section_title"),
+        "page_position": number("page_position"), "ref_position": number("ref_position"), "chunk_index": number("chunk_index"), "chunk_count": number("chunk_count"), "block_size": number("block_size"),
     }
-    return kept.select(chunk_id(F.col("id"), F.col("chunk_index"), F.col("chunk_count")).alias("chunk_id"), "document", *[own[k].alias(k) for k in METADATA])
+    return kept.select(chunk_id(F.col("id"), F.col("chunk_index"), F.col("chunk_count")).alias("chunk_id"), "document", *[told[k].alias(k) for k in METADATA])
 
 
 def embedding_text(chunks: DataFrame, with_title: bool = True) -> Column:

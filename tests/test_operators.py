@@ -139,3 +139,29 @@ def test_language_sample_goes_on_to_20000_characters(spark, tmp_path):
     lines = ["a" * 1000] * 25
     spark.createDataFrame([(1, "x", "\n".join(lines))], "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert [r["sample"] for r in catalogue.queries()["language_sample"](spark, str(tmp_path)).collect()] == [" ".join(lines[:20])]
+
+
+def test_chunk_records_move_documents_once(spark, tmp_path):
+    from sedge.plans import catalogue
+
+    lines = "\n".join(f"Line {k} of a log about tides." for k in range(25))
+    table = [(1, lines, "en", "x"), (2, "short", None, None), (3, None, "fr", "y"), (4, lines, "en", "x")]
+    spark.createDataFrame(table, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = catalogue.queries()["chunk_records"](spark, str(tmp_path))
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    assert plan.count("Exchange hashpartitioning") == 2  # the texts, and what is joined to them
+    got = sorted((r for r in found.collect() if r.filename == "1"), key=lambda r: int(r.document.split()[1]))
+    assert [r.document for r in got] == ["\n".join(lines.split("\n")[k : k + 3]) for k in range(0, 25, 3)]
+    assert [(r.chunk_index, r.chunk_count, r.block_size) for r in got] == [(0, 2, 3), (1, 2, 3), (0, 2, 2), (1, 2, 3), (0, 1, 2), (0, 2, 3), (1, 2, 2), (0, 2, 3), (1, 2, 1)]
+
+
+def test_anchors_of_two_tables(spark):
+    known = spark.createDataFrame([(1, "a", 0, "i0"), (1, "a", 1, "i1"), (1, "b", 2, "i2"), (2, None, 0, "j0")], "doc_id long, self_ref string, order int, id string")
+    refs = spark.createDataFrame([(1, 0, 0, "?", "x"), (1, 0, 1, "b", "y"), (1, 0, 2, "a", None), (1, 1, 0, "b", "z"), (1, 2, 0, "?", "w"), (2, 0, 0, None, "v"), (2, 1, 0, "a", "u")], "doc_id long, chunk int, at int, ref string, text string")
+    got = chunks.anchored(known.unionByName(refs, allowMissingColumns=True), ("order",), texts=True)
+    assert sorted(rows(got, "doc_id", "chunk", "id", "order", "block_size", "chunk_index", "chunk_count", "text")) == [(1, 0, "i2", 2, 2, 0, 2, "x\ny"), (1, 1, "i2", 2, 1, 1, 2, "z")]
